@@ -1,0 +1 @@
+"""Empty on purpose: every source the toolkit covers is a complete batch, so there is no stream to process."""
