@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ["feature_queries"]
+_MODULES = ["feature_queries", "impute_queries"]
 
 
 def _merged(name: str) -> dict:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twosided.operators.ordered import MAX_GROUP_ROWS, FillBackward, FillForward, oversized_groups, with_ordered
-from twosided.operators.quantiles import medians_from_counts, missing_from_counts, value_counts
+from twosided.operators.quantiles import grouped_median
 from twosided.operators.sides import SIDES, attach, to_contests, to_participants
 from twosided.session import materialise
 
@@ -54,13 +54,24 @@ def _fill_from(df: DataFrame, fill: DataFrame, keys: Sequence[str], columns: Seq
     """Fill nulls of ``columns`` from the row of ``fill`` with the same keys.
 
     The join carries no broadcast hint: ``fill`` can grow with the number of teams, so Spark compares its size
-    with the broadcast threshold and otherwise joins by shuffle.
+    with the broadcast threshold and otherwise joins by shuffle. As its keys are known to be distinct, plans that
+    do not need the filled columns drop the join.
     """
-    renamed = fill.select(*keys, *[F.col(name).alias(f"__{name}") for name in columns])
+    renamed = fill.dropDuplicates(list(keys)).select(*keys, *[F.col(name).alias(f"__{name}") for name in columns])
     filled = {name: F.coalesce(F.col(name), F.col(f"__{name}")) for name in columns}
     return df.join(renamed, list(keys), "left").withColumns(filled).drop(*[f"__{name}" for name in columns])
 
 
+def _medians_where(
+    df: DataFrame, wanted: DataFrame, keys: Sequence[str], columns: Sequence[str], max_rows: int
+) -> DataFrame:
+    """``wanted`` with the medians of its ``keys``, taken over the rows of those keys only."""
+    needed = wanted.select(*keys).distinct()
+    medians = grouped_median(df.join(needed, list(keys), "left_semi"), keys, columns, max_rows)
+    # A group without any value has no median row; it stays, with nulls.
+    return wanted.join(medians, list(keys), "left")
+
+
 def block_medians(
     df: DataFrame,
     columns: Sequence[str],
@@ -69,18 +80,15 @@ def block_medians(
     coarse: Sequence[str] = SEASON,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Blocks to fill with their medians, one scan of the block keys and ``columns``.
+    """Blocks to fill with their medians.
 
     With ``wholly``, the blocks where the first column is missing throughout, with the medians of their ``coarse``
     group; otherwise every block where it is missing at all, with its own medians.
     """
-    counts = value_counts(df, block, columns)
-    missing = missing_from_counts(counts, block, columns[0])
-    if wholly:
-        medians = medians_from_counts(counts, coarse, columns, max_rows)
-        return wholly_missing(missing).select(*block).join(medians, list(coarse))
-    medians = medians_from_counts(counts, block, columns, max_rows)
-    return any_missing(missing).select(*block).join(medians, list(block))
+    missing = block_missing(df, columns[0], block)
+    wanted = wholly_missing(missing) if wholly else any_missing(missing)
+    wanted = materialise(wanted.select(*block), "blocks")
+    return _medians_where(df, wanted, coarse if wholly else block, columns, max_rows).select(*block, *columns)
 
 
 def fill_block_median(
@@ -109,8 +117,7 @@ def team_block_medians(
     """Teams whose first measure is missing for a whole block, with the block's medians of both sides' columns."""
     columns = [f"{side}_{name}" for side in SIDES for name in measures]
     teams = wholly_missing(participants_missing(df, measures[0], block)).select(*block, "team")
-    counts = value_counts(df, block, columns)
-    return teams.join(medians_from_counts(counts, block, columns, max_rows), list(block))
+    return _medians_where(df, materialise(teams, "teams"), block, columns, max_rows)
 
 
 def fill_team_block_median(
@@ -120,9 +127,7 @@ def fill_team_block_median(
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Fill the home columns where the home team, and the away columns where the away team, lacks a whole block."""
-    # Both joins read the teams; writing them keeps the two side joins from computing them twice.
-
-    fill = materialise(team_block_medians(df, measures, block, max_rows), "team-medians")
+    fill = team_block_medians(df, measures, block, max_rows)
     for side in SIDES:
         columns = [f"{side}_{name}" for name in measures]
         df = _fill_from(df, fill.withColumnRenamed("team", f"{side}_team"), [*block, f"{side}_team"], columns)
@@ -137,6 +142,7 @@ def fill_along_history(
     order: Sequence[str] = ("season_year", "match_round"),
     drop: Sequence[str] = ("date", "referee"),
     max_rows: int = MAX_GROUP_ROWS,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Fill each team's gaps from its earlier contests on either side, then from later ones on the same side.
 
@@ -144,14 +150,15 @@ def fill_along_history(
     (league, team, side): along an order that starts with the season, the next value is one of the same season
     whenever there is one, so it is also the fill within the season followed by the one across seasons.
 
-    Everything happens on one row per participant, where partitioning by team serves both fills; the result then
-    returns to one row per contest.
+    ``counted_on`` names a cheaper frame with the same teams on which to look for oversized groups. Everything
+    happens on one row per participant, where partitioning by team serves both fills; the result then returns to
+    one row per contest.
     """
     order = list(order)
     keep = list(dict.fromkeys([*row_key, "league", *order]))
     rows = to_participants(df, ["team", *forward], keep)
     total_order = [*order, "side_ord", *[key for key in row_key if key not in order]]
-    teams = to_participants(df, ["team"], ["league"])
+    teams = to_participants(df if counted_on is None else counted_on, ["team"], ["league"])
     check = oversized_groups(teams, ["team"], max_rows) is not None
     ahead = {name: FillForward(name) for name in forward}
     behind = {name: FillBackward(name) for name in backward}
@@ -164,9 +171,9 @@ def fill_along_history(
 
 def clean(df: DataFrame, row_key: Sequence[str], max_rows: int = MAX_GROUP_ROWS, **history) -> DataFrame:
     """The whole cascade; each step reads the values the step before has filled."""
-    df = flag_missing(df)
-    df = fill_cards_by_season(df, max_rows)
-    df = fill_team_block_median(df, max_rows=max_rows)
-    df = fill_block_median(df, ["capacity"], max_rows=max_rows)
-    df = fill_block_median(df, ELO, wholly=True, max_rows=max_rows)
-    return fill_along_history(df, row_key, max_rows=max_rows, **history)
+    filled = flag_missing(df)
+    filled = fill_cards_by_season(filled, max_rows)
+    filled = fill_team_block_median(filled, max_rows=max_rows)
+    filled = fill_block_median(filled, ["capacity"], max_rows=max_rows)
+    filled = fill_block_median(filled, ELO, wholly=True, max_rows=max_rows)
+    return fill_along_history(filled, row_key, max_rows=max_rows, counted_on=df, **history)

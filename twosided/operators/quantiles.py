@@ -1,7 +1,7 @@
 """Exact medians and quantiles per group, from counts of distinct values.
 
 Rows are counted per (group, column, value) before the shuffle, so a group that holds a large share of the table
-becomes as small as its number of distinct values. The counts also give the missing and total rows of each group.
+becomes as small as its number of distinct values.
 """
 
 from __future__ import annotations
@@ -16,28 +16,16 @@ from twosided.session import materialise
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """``keys``, ``measure``, ``value`` (double, null for missing) and ``n``, as a written table.
+    """``keys``, ``measure``, ``value`` (double, never null) and ``n``, as a written table.
 
-    Several small tables are derived from it; writing it means the rows are scanned once for all of them.
+    Written, its number of rows is known from the file footers, and reading it again costs no second scan of ``df``.
     """
     doubles = df.select(*keys, *[F.col(name).cast("double").alias(name) for name in columns])
-    long = doubles.unpivot(list(keys), list(columns), "measure", "value")
+    long = doubles.unpivot(list(keys), list(columns), "measure", "value").filter(F.col("value").isNotNull())
     counted = long.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
     return materialise(counted, "counts")
 
 
-def missing_from_counts(counts: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """``keys``, ``missing`` and ``total`` rows for one column."""
-    return (
-        counts.filter(F.col("measure") == column)
-        .groupBy(*keys)
-        .agg(
-            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
-            F.sum("n").alias("total"),
-        )
-    )
-
-
 def quantiles_from_counts(
     counts: DataFrame,
     keys: Sequence[str],
@@ -47,15 +35,22 @@ def quantiles_from_counts(
 ) -> DataFrame:
     """``keys``, ``measure`` and one column per named fraction, interpolated linearly between ranks.
 
-    ``keys`` may be coarser than the keys of the counts. Each value covers the ranks from the rows before it up to
-    its own count; the two ranks around ``fraction * (rows - 1)`` are looked up among them.
+    ``keys`` may be coarser than the keys of the counts. One aggregate holds a group's distinct values in memory;
+    that is used while all counts together have at most ``max_rows`` rows, and the ranks are looked up along the
+    ordered values beyond it.
     """
     group = [*keys, "measure"]
-    values = (
-        counts.filter(F.col("value").isNotNull() & F.col("measure").isin(list(columns)))
-        .groupBy(*group, "value")
-        .agg(F.sum("n").alias("n"))
-    )
+    counts = counts.filter(F.col("measure").isin(list(columns)))
+    if counts.count() > max_rows:
+        return _quantiles_by_rank(counts, group, fractions, max_rows)
+    wanted = F.array(*[F.lit(float(fraction)) for fraction in fractions.values()])
+    found = counts.groupBy(*group).agg(F.percentile("value", wanted, F.col("n")).alias("__found"))
+    return found.select(*group, *[F.col("__found")[i].alias(name) for i, name in enumerate(fractions)])
+
+
+def _quantiles_by_rank(counts, group, fractions, max_rows) -> DataFrame:
+    # Each value covers the ranks from the rows before it up to its own count.
+    values = counts.groupBy(*group, "value").agg(F.sum("n").alias("n"))
     placed = with_ordered(values, group, ["value"], {"before": SumBefore("n")}, max_rows)
     totals = values.groupBy(*group).agg(F.sum("n").alias("rows"))
     placed = placed.join(totals, group)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twosided.operators.dedupe import keep_first
+from twosided.operators.features import contest_features
+from twosided.operators.impute import clean
 from twosided.session import materialise, shared_folder
 
 ROW_KEY = ["home_team", "away_team", "season_year"]
@@ -85,7 +87,25 @@ def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`contests`, written once per session so that later queries read only the columns they need."""
-    key = (spark.conf.get("spark.app.id", ""), shared_folder(spark), sf_dir, "contests")
+    return _written_once(spark, sf_dir, "contests", lambda: contests(spark, sf_dir))
+
+
+def _written_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (spark.conf.get("spark.app.id", ""), shared_folder(spark), sf_dir, name)
     if key not in _views:
-        _views[key] = materialise(contests(spark, sf_dir), "contests")
+        _views[key] = materialise(build(), name)
     return _views[key]
+
+
+def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contests after every fill, written so that features start from a table instead of the whole cascade."""
+    return _written_once(
+        spark, sf_dir, "cleaned", lambda: clean(contest_table(spark, sf_dir), ROW_KEY, drop=("date",))
+    )
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned contests with their ten features, written once: the input of every model."""
+    return _written_once(
+        spark, sf_dir, "features", lambda: contest_features(cleaned_table(spark, sf_dir), ROW_KEY)
+    )
