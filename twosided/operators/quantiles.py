@@ -40,8 +40,9 @@ def quantiles_from_counts(
     ordered values beyond it.
     """
     group = [*keys, "measure"]
+    large = counts.count() > max_rows
     counts = counts.filter(F.col("measure").isin(list(columns)))
-    if counts.count() > max_rows:
+    if large:
         return _quantiles_by_rank(counts, group, fractions, max_rows)
     wanted = F.array(*[F.lit(float(fraction)) for fraction in fractions.values()])
     found = counts.groupBy(*group).agg(F.percentile("value", wanted, F.col("n")).alias("__found"))
