@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import duckdb
-import numpy as np
-import pandas as pd
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
 
 def connect(sf_dir: str):
     con = duckdb.connect()
@@ -19,36 +26,28 @@ def connect(sf_dir: str):
     return con
 
 
-def _plain(value):
-    """A hashable form in which missing values of either engine agree."""
-    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
-        return None
-    if isinstance(value, (np.generic,)):
-        return _plain(value.item())
-    if isinstance(value, (list, tuple, np.ndarray)):
-        return tuple(_plain(v) for v in value)
-    return value
-
-
-def rows_of(pdf: pd.DataFrame) -> list[tuple]:
-    names = sorted(pdf.columns)
-    columns = [[_plain(v) for v in pdf[name].tolist()] for name in names]
-    return sorted(zip(*columns), key=lambda row: tuple((v is None, str(v)) for v in row))
+def _sorted(rows):
+    return sorted(rows, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
 def differences(spark_df, sql: str, con) -> list[str]:
-    ours, theirs = spark_df.toPandas(), con.execute(sql).df()
-    problems = []
-    if sorted(ours.columns) != sorted(theirs.columns):
-        return [f"columns {sorted(ours.columns)} != {sorted(theirs.columns)}"]
-    if len(ours) != len(theirs):
-        problems.append(f"rows {len(ours)} != {len(theirs)}")
-    for name in ours.columns:
-        if ours[name].dtype.kind != theirs[name].dtype.kind:
-            problems.append(f"type of {name}: {ours[name].dtype} != {theirs[name].dtype}")
-    if not problems:
-        pairs = zip(rows_of(ours), rows_of(theirs))
-        wrong = [(a, b) for a, b in pairs if a != b]
-        if wrong:
-            problems.append(f"{len(wrong)} of {len(ours)} rows differ in {sorted(ours.columns)}: {wrong[:3]}")
-    return problems
+    """What differs in columns, types, number of rows and values; row order is ignored."""
+    result = con.execute(sql)
+    theirs_types = {d[0]: str(d[1]) for d in result.description}
+    ours_types = {name: TYPES.get(kind, kind) for name, kind in spark_df.dtypes}
+    problems = [
+        f"type of {name}: {ours_types.get(name)} != {theirs_types.get(name)}"
+        for name in sorted(ours_types.keys() | theirs_types.keys())
+        if ours_types.get(name) != theirs_types.get(name)
+    ]
+    theirs = result.fetchall()
+    table = spark_df.toArrow()
+    if len(theirs) != table.num_rows:
+        problems.append(f"rows {table.num_rows} != {len(theirs)}")
+    if problems:
+        return problems
+    names = sorted(ours_types)
+    places = [list(theirs_types).index(name) for name in names]
+    ours = _sorted(zip(*[table.column(name).to_pylist() for name in names]))
+    wrong = [(a, b) for a, b in zip(ours, _sorted(tuple(row[i] for i in places) for row in theirs)) if a != b]
+    return [f"{len(wrong)} of {len(theirs)} rows differ in {names}: {wrong[:3]}"] if wrong else []

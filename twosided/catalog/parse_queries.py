@@ -325,7 +325,7 @@ ORACLE = {
     "lower_names": "SELECT r_regionkey, r_name FROM region",
     "side_names": f"""WITH {CONTESTS} SELECT home_team AS host_team, season_year, home_goals AS host_goals,
         home_yellow AS host_yellow FROM contests""",
-    "first_numbers": "SELECT o_orderkey, CAST(o_orderkey AS INTEGER) AS number FROM orders",
+    "first_numbers": "SELECT o_orderkey, o_orderkey AS number FROM orders",
     "scraped_dates": "SELECT o_orderkey, strftime(o_orderdate, '%d-%m-%Y') AS day FROM orders",
     "day_first_dates": """SELECT o_orderkey,
         CASE WHEN o_orderkey % 10 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders""",

@@ -84,8 +84,8 @@ def score_text(home: Column, away: Column, missing: str = "N/A") -> Column:
 
 
 def first_number(column: str) -> Column:
-    """The first word made of digits only, as an integer."""
-    return F.try_to_number(extracted(column, FIRST_NUMBER), F.lit("999999999")).cast("int")
+    """The first word made of digits only, as a number."""
+    return extracted(column, FIRST_NUMBER).try_cast("bigint")
 
 
 def scraped_date(column: str, year: str) -> Column:
