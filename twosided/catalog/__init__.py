@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ["feature_queries", "impute_queries", "parse_queries", "profile_queries", "page_queries"]
+_MODULES = ["feature_queries", "impute_queries", "parse_queries", "profile_queries", "page_queries", "model_queries"]
 
 
 def _merged(name: str) -> dict:
