@@ -289,13 +289,16 @@ TYPES = {
 
 
 def _histogram(column, bins):
-    """Bins of one column by arithmetic on its own minimum and maximum."""
-    return f"""SELECT '{column}' AS "column", CAST(bin AS INTEGER) AS bin,
-      round(low + (bin - 1) * (high - low) / {bins}, 6) AS low,
-      round(low + (bin - 1) * (high - low) / {bins} + (high - low) / {bins}, 6) AS high, count(*) AS rows
-    FROM (SELECT low, high, least(CAST(floor(({column} - low) / (high - low) * {bins}) AS BIGINT) + 1, {bins}) AS bin
-          FROM contests, (SELECT CAST(min({column}) AS DOUBLE) AS low, CAST(max({column}) AS DOUBLE) AS high FROM contests)
-          WHERE {column} IS NOT NULL) GROUP BY bin, low, high"""
+    """Bins of one column between its own minimum and maximum; equal-width edges decide."""
+    return f"""SELECT '{column}' AS "column", CAST(bin AS INTEGER) AS bin, round(low + (bin - 1) * width, 6) AS low,
+      round(low + (bin - 1) * width + width, 6) AS high, count(*) AS "rows"
+    FROM (SELECT low, width, CASE WHEN x < low + (near - 1) * width THEN near - 1
+            WHEN x >= low + near * width AND near < {bins} THEN near + 1 ELSE near END AS bin
+          FROM (SELECT CAST({column} AS DOUBLE) AS x, low, (high - low) / {bins} AS width,
+                  least(CAST(floor(({column} - low) / (high - low) * {bins}) AS BIGINT) + 1, {bins}) AS near
+                FROM contests, (SELECT CAST(min({column}) AS DOUBLE) AS low, CAST(max({column}) AS DOUBLE) AS high
+                                FROM contests)
+                WHERE {column} IS NOT NULL)) GROUP BY bin, low, width"""
 
 
 def _quantiles(column, label, source):

@@ -124,12 +124,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
             continue
         if low == high:
             low, high = low - 0.5, high + 0.5
+        value, width = F.col(name).cast("double"), (high - low) / bins
         # The last bin is closed on the right, so the maximum belongs to it.
-        value = F.col(name).cast("double")
-        place = F.least(F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
+        near = F.least(F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
+        # Rounding may put a value next to an edge into the neighbouring bin; the edges decide.
+        above = (value >= low + near * width) & (near < bins)
+        place = F.when(value < low + (near - 1) * width, near - 1).when(above, near + 1).otherwise(near)
         place = F.when(value.isNotNull(), place)
         parts.append(F.struct(F.lit(name).alias("column"), place.cast("int").alias("bin"), F.lit(low).alias("__low"),
-                              F.lit((high - low) / bins).alias("__width")))
+                              F.lit(width).alias("__width")))
     long = df.select(F.explode(F.array(*parts)).alias("h")).select("h.*").filter(F.col("bin").isNotNull())
     counted = long.groupBy("column", "bin", "__low", "__width").agg(F.count(F.lit(1)).alias("rows"))
     low = F.col("__low") + (F.col("bin") - 1) * F.col("__width")
