@@ -9,7 +9,7 @@ from twosided.operators.joins import left_lookup, unmatched
 from twosided.plans.contest_view import ROW_KEY, SOURCE_ORDER, contest_table, table
 from twosided.plans.merge import merge_contests, parse_scores
 from twosided.plans.source_view import match_info_text, ratings_map, results_text, score_corrections, team_info_text
-from twosided.session import new_path
+from twosided.session import materialise, new_path
 from twosided.sources import readers, sinks
 from twosided.sources.schemas import LEAGUES
 
@@ -21,13 +21,18 @@ def _played(spark, sf_dir):
     return results_text(spark, sf_dir).filter(~F.col("score").contains("N/A"))
 
 
+def _corrections(played):
+    # Written, their size is known when the join with the results is planned.
+    return materialise(score_corrections(played), "corrections")
+
+
 def bad_scores(spark, sf_dir):
     return _played(spark, sf_dir).filter(~text.is_score()).select("link", "score", "season_year", "league")
 
 
 def corrections(spark, sf_dir):
     played = _played(spark, sf_dir)
-    return fixes.apply_corrections(played, score_corrections(played), ["link"], "score").select("link", "score")
+    return fixes.apply_corrections(played, _corrections(played), ["link"], "score").select("link", "score")
 
 
 def corrections_by_position(spark, sf_dir):
@@ -38,7 +43,7 @@ def corrections_by_position(spark, sf_dir):
 
 def parsed_scores(spark, sf_dir):
     played = _played(spark, sf_dir)
-    fixed = fixes.apply_corrections(played, score_corrections(played), ["link"], "score")
+    fixed = fixes.apply_corrections(played, _corrections(played), ["link"], "score")
     return parse_scores(fixed, SOURCE_ORDER).drop(*SOURCE_ORDER)
 
 
@@ -75,7 +80,7 @@ def merged_contests(spark, sf_dir):
         readers.parse_team_info(team_info_text(spark, sf_dir), "NATION_3"),
         readers.flatten_ratings(ratings_map(spark, sf_dir)),
         order=SOURCE_ORDER,
-        corrections=score_corrections(results),
+        corrections=_corrections(results),
         correction_keys=["link"],
     )
     return merged.drop(*SOURCE_ORDER).withColumn("date", F.date_format("date", "yyyy-MM-dd"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twosided.operators.ordered import MAX_GROUP_ROWS, FillBackward, FillForward, oversized_groups, with_ordered
-from twosided.operators.quantiles import grouped_median
+from twosided.operators.quantiles import count_values, grouped_median, one_column_each, quantiles_from_counts
 from twosided.operators.sides import SIDES, attach, to_contests, to_participants
 from twosided.session import materialise
 
@@ -51,56 +52,98 @@ def participants_missing(df: DataFrame, measure: str = "yellow", block: Sequence
 
 
 def _fill_from(df: DataFrame, fill: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Fill nulls of ``columns`` from the row of ``fill`` with the same keys.
+    """Fill nulls of ``columns`` from the row of ``fill`` with the same keys, which are distinct there.
 
-    The join carries no broadcast hint: ``fill`` can grow with the number of teams, so Spark compares its size
-    with the broadcast threshold and otherwise joins by shuffle. As its keys are known to be distinct, plans that
-    do not need the filled columns drop the join.
+    ``fill`` is a written table, computed once however often later steps read the result. The join carries no
+    broadcast hint: ``fill`` can grow with the number of teams, so Spark compares the size of its files with the
+    broadcast threshold and otherwise joins by shuffle.
     """
-    renamed = fill.dropDuplicates(list(keys)).select(*keys, *[F.col(name).alias(f"__{name}") for name in columns])
+    renamed = fill.select(*keys, *[F.col(name).alias(f"__{name}") for name in columns])
     filled = {name: F.coalesce(F.col(name), F.col(f"__{name}")) for name in columns}
     return df.join(renamed, list(keys), "left").withColumns(filled).drop(*[f"__{name}" for name in columns])
 
 
-def _medians_where(
-    df: DataFrame, wanted: DataFrame, keys: Sequence[str], columns: Sequence[str], max_rows: int
-) -> DataFrame:
-    """``wanted`` with the medians of its ``keys``, taken over the rows of those keys only."""
-    needed = wanted.select(*keys).distinct()
-    medians = grouped_median(df.join(needed, list(keys), "left_semi"), keys, columns, max_rows)
-    # A group without any value has no median row; it stays, with nulls.
-    return wanted.join(medians, list(keys), "left")
-
+@dataclass(frozen=True)
+class BlockRule:
+    """Fill ``columns`` in blocks that lack the first of them.
 
-def block_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    wholly: bool,
-    block: Sequence[str] = BLOCK,
-    coarse: Sequence[str] = SEASON,
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Blocks to fill with their medians.
-
-    With ``wholly``, the blocks where the first column is missing throughout, with the medians of their ``coarse``
-    group; otherwise every block where it is missing at all, with its own medians.
+    With ``wholly``, in blocks where it is missing throughout, from the medians of the coarser group; otherwise in
+    blocks where it is missing at all, from the block's own medians.
     """
-    missing = block_missing(df, columns[0], block)
-    wanted = wholly_missing(missing) if wholly else any_missing(missing)
-    wanted = materialise(wanted.select(*block), "blocks")
-    return _medians_where(df, wanted, coarse if wholly else block, columns, max_rows).select(*block, *columns)
+
+    columns: Sequence[str]
+    wholly: bool
 
 
-def fill_block_median(
+def block_fills(
     df: DataFrame,
-    columns: Sequence[str],
-    wholly: bool = False,
+    rules: Sequence[BlockRule],
     block: Sequence[str] = BLOCK,
     coarse: Sequence[str] = SEASON,
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Fill nulls of ``columns`` from the medians of :func:`block_medians`."""
-    return _fill_from(df, block_medians(df, columns, wholly, block, coarse, max_rows), block, columns)
+    """One row per block that some rule fills, with the median of every column to fill there, as a written table.
+
+    All rules share one scan that looks for blocks and one that counts values, the latter only of groups in which
+    something is to be filled.
+    """
+    fine = [name for name in block if name not in coarse]
+    counts = [F.count_if(F.col(rule.columns[0]).isNull()).alias(f"__m{i}") for i, rule in enumerate(rules)]
+    found = df.dropna(subset=list(block)).groupBy(*block).agg(F.count(F.lit(1)).alias("__total"), *counts)
+    flags = []
+    for i, rule in enumerate(rules):
+        missing = F.col(f"__m{i}")
+        flags.append((missing == F.col("__total") if rule.wholly else missing > 0).alias(f"__f{i}"))
+    blocks = found.select(*block, *flags).filter(" OR ".join(f"__f{i}" for i in range(len(rules))))
+    blocks = materialise(blocks, "blocks")
+
+    own = [f"__f{i}" for i, rule in enumerate(rules) if not rule.wholly]
+    wide = [f"__f{i}" for i, rule in enumerate(rules) if rule.wholly]
+    needed = df
+    if own:
+        needed = needed.join(blocks.select(*block, *own), list(block), "left")
+    if wide:
+        groups = blocks.groupBy(*coarse).agg(*[F.max(name).alias(name) for name in wide])
+        needed = needed.join(groups, list(coarse), "left")
+    # Values of a coarse group are counted under a null fine key.
+    values = [
+        F.struct(
+            *[(F.lit(None) if rule.wholly else F.col(name)).cast(df.schema[name].dataType).alias(name) for name in fine],
+            F.lit(column).alias("measure"),
+            F.when(F.col(f"__f{i}"), F.col(column).cast("double")).alias("value"),
+        )
+        for i, rule in enumerate(rules)
+        for column in rule.columns
+    ]
+    long = needed.select(*coarse, F.explode(F.array(*values)).alias("__v")).select(*coarse, "__v.*")
+    medians = quantiles_from_counts(*count_values(long, block), block, {"median": 0.5}, max_rows)
+
+    fill = blocks
+    for keys, wholly in ((coarse, True), (block, False)):
+        columns = [c for rule in rules if rule.wholly == wholly for c in rule.columns]
+        if columns:
+            part = one_column_each(medians.filter(F.col("measure").isin(columns)), keys, columns, "median")
+            fill = fill.join(part, list(keys), "left")
+    chosen = [
+        F.when(F.col(f"__f{i}"), F.col(column)).alias(column) for i, rule in enumerate(rules) for column in rule.columns
+    ]
+    return materialise(fill.select(*block, *chosen), "fill")
+
+
+def fill_blocks(df: DataFrame, rules: Sequence[BlockRule], block: Sequence[str] = BLOCK, **options) -> DataFrame:
+    """Fill nulls by several rules on disjoint columns, with one join."""
+    columns = [column for rule in rules for column in rule.columns]
+    return _fill_from(df, block_fills(df, rules, block, **options), block, columns)
+
+
+def block_medians(df: DataFrame, columns: Sequence[str], wholly: bool, **options) -> DataFrame:
+    """The blocks a single :class:`BlockRule` fills, with their medians."""
+    return block_fills(df, [BlockRule(columns, wholly)], **options)
+
+
+def fill_block_median(df: DataFrame, columns: Sequence[str], wholly: bool = False, **options) -> DataFrame:
+    """Fill nulls of ``columns`` by a single :class:`BlockRule`."""
+    return fill_blocks(df, [BlockRule(columns, wholly)], **options)
 
 
 def fill_cards_by_season(df: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -117,7 +160,10 @@ def team_block_medians(
     """Teams whose first measure is missing for a whole block, with the block's medians of both sides' columns."""
     columns = [f"{side}_{name}" for side in SIDES for name in measures]
     teams = wholly_missing(participants_missing(df, measures[0], block)).select(*block, "team")
-    return _medians_where(df, materialise(teams, "teams"), block, columns, max_rows)
+    teams = materialise(teams, "teams")
+    needed = df.join(teams.select(*block).distinct(), list(block), "left_semi")
+    # A block without any value has no median row; its teams stay, with nulls.
+    return teams.join(grouped_median(needed, block, columns, max_rows), list(block), "left")
 
 
 def fill_team_block_median(
@@ -127,32 +173,30 @@ def fill_team_block_median(
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Fill the home columns where the home team, and the away columns where the away team, lacks a whole block."""
-    fill = team_block_medians(df, measures, block, max_rows)
+    fill = materialise(team_block_medians(df, measures, block, max_rows), "fill")
     for side in SIDES:
         columns = [f"{side}_{name}" for name in measures]
         df = _fill_from(df, fill.withColumnRenamed("team", f"{side}_team"), [*block, f"{side}_team"], columns)
     return df
 
 
-def fill_along_history(
+def filled_history(
     df: DataFrame,
     row_key: Sequence[str],
     forward: Sequence[str] = ("yellow", "red", "elo"),
     backward: Sequence[str] = ("yellow", "red"),
     order: Sequence[str] = ("season_year", "match_round"),
-    drop: Sequence[str] = ("date", "referee"),
     max_rows: int = MAX_GROUP_ROWS,
     counted_on: DataFrame | None = None,
 ) -> DataFrame:
-    """Fill each team's gaps from its earlier contests on either side, then from later ones on the same side.
+    """``row_key`` and both sides' measures, gaps filled along each team's history.
 
-    The forward fill runs over a team's whole history, across seasons and leagues. The backward fill runs per
-    (league, team, side): along an order that starts with the season, the next value is one of the same season
-    whenever there is one, so it is also the fill within the season followed by the one across seasons.
+    The forward fill runs over a team's contests on either side, across seasons and leagues. The backward fill
+    runs per (league, team, side): along an order that starts with the season, the next value is one of the same
+    season whenever there is one, so it is also the fill within the season followed by the one across seasons.
 
     ``counted_on`` names a cheaper frame with the same teams on which to look for oversized groups. Everything
-    happens on one row per participant, where partitioning by team serves both fills; the result then returns to
-    one row per contest.
+    happens on one row per participant, where partitioning by team serves both fills.
     """
     order = list(order)
     keep = list(dict.fromkeys([*row_key, "league", *order]))
@@ -165,15 +209,32 @@ def fill_along_history(
     filled = with_ordered(rows, ["team"], total_order, ahead, max_rows, teams, check)
     if backward:
         filled = with_ordered(filled, ["team", "league", "side"], total_order, behind, max_rows, teams, check)
-    wide = to_contests(filled, row_key, forward)
-    return attach(df, wide, row_key).drop(*drop)
-
-
-def clean(df: DataFrame, row_key: Sequence[str], max_rows: int = MAX_GROUP_ROWS, **history) -> DataFrame:
-    """The whole cascade; each step reads the values the step before has filled."""
-    filled = flag_missing(df)
-    filled = fill_cards_by_season(filled, max_rows)
-    filled = fill_team_block_median(filled, max_rows=max_rows)
-    filled = fill_block_median(filled, ["capacity"], max_rows=max_rows)
-    filled = fill_block_median(filled, ELO, wholly=True, max_rows=max_rows)
-    return fill_along_history(filled, row_key, max_rows=max_rows, counted_on=df, **history)
+    return to_contests(filled, row_key, forward)
+
+
+def fill_along_history(
+    df: DataFrame, row_key: Sequence[str], drop: Sequence[str] = ("date", "referee"), **options
+) -> DataFrame:
+    """``df`` with the gaps filled by :func:`filled_history`; ``backward=()`` leaves out the backward fill."""
+    return attach(df, filled_history(df, row_key, **options), row_key).drop(*drop)
+
+
+def clean(
+    df: DataFrame,
+    row_key: Sequence[str],
+    drop: Sequence[str] = ("date", "referee"),
+    max_rows: int = MAX_GROUP_ROWS,
+    **history,
+) -> DataFrame:
+    """The whole cascade; each step reads the values the step before has filled.
+
+    The rules for whole blocks touch different columns and read only those, so they are one step. Capacity and the
+    flags are joined to the filled measures at the end, which spares them the way through participant rows.
+    """
+    rules = [BlockRule(CARDS, wholly=True), BlockRule(["capacity"], wholly=False), BlockRule(ELO, wholly=True)]
+    fill = block_fills(df, rules, max_rows=max_rows)
+    measures = _fill_from(df, fill, BLOCK, [*CARDS, *ELO])
+    measures = fill_team_block_median(measures, max_rows=max_rows)
+    measures = filled_history(measures, row_key, max_rows=max_rows, counted_on=df, **history)
+    filled = _fill_from(flag_missing(df), fill, BLOCK, ["capacity"])
+    return attach(filled, measures, row_key).drop(*drop)

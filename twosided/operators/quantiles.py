@@ -7,42 +7,45 @@ becomes as small as its number of distinct values.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twosided.operators.ordered import MAX_GROUP_ROWS, SumBefore, with_ordered
-from twosided.session import materialise
+from twosided.session import materialise_counted
 
+# Distinct values that one aggregate may hold in memory.
+MAX_VALUES = 500_000
 
-def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """``keys``, ``measure``, ``value`` (double, never null) and ``n``, as a written table.
 
-    Written, its number of rows is known from the file footers, and reading it again costs no second scan of ``df``.
-    """
+def value_counts(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, int]:
+    """``keys``, ``measure``, ``value`` (double, never null) and ``n`` as a written table, and its number of rows."""
     doubles = df.select(*keys, *[F.col(name).cast("double").alias(name) for name in columns])
-    long = doubles.unpivot(list(keys), list(columns), "measure", "value").filter(F.col("value").isNotNull())
-    counted = long.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
-    return materialise(counted, "counts")
+    return count_values(doubles.unpivot(list(keys), list(columns), "measure", "value"), keys)
+
+
+def count_values(long: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """:func:`value_counts` of rows that already are ``keys``, ``measure``, ``value``."""
+    counted = long.filter(F.col("value").isNotNull()).groupBy(*keys, "measure", "value")
+    return materialise_counted(counted.agg(F.count(F.lit(1)).alias("n")), "counts")
 
 
 def quantiles_from_counts(
     counts: DataFrame,
+    rows: int,
     keys: Sequence[str],
-    columns: Sequence[str],
     fractions: Mapping[str, float],
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``keys``, ``measure`` and one column per named fraction, interpolated linearly between ranks.
 
-    ``keys`` may be coarser than the keys of the counts. One aggregate holds a group's distinct values in memory;
-    that is used while all counts together have at most ``max_rows`` rows, and the ranks are looked up along the
+    ``rows`` is the number of counts. One aggregate holds a group's distinct values in memory; that is used while
+    all counts together are few (``MAX_VALUES``, or ``max_rows`` if smaller), and the ranks are looked up along the
     ordered values beyond it.
     """
     group = [*keys, "measure"]
-    large = counts.count() > max_rows
-    counts = counts.filter(F.col("measure").isin(list(columns)))
-    if large:
+    if rows > min(max_rows, MAX_VALUES):
         return _quantiles_by_rank(counts, group, fractions, max_rows)
     wanted = F.array(*[F.lit(float(fraction)) for fraction in fractions.values()])
     found = counts.groupBy(*group).agg(F.percentile("value", wanted, F.col("n")).alias("__found"))
@@ -51,10 +54,10 @@ def quantiles_from_counts(
 
 def _quantiles_by_rank(counts, group, fractions, max_rows) -> DataFrame:
     # Each value covers the ranks from the rows before it up to its own count.
-    values = counts.groupBy(*group, "value").agg(F.sum("n").alias("n"))
-    placed = with_ordered(values, group, ["value"], {"before": SumBefore("n")}, max_rows)
-    totals = values.groupBy(*group).agg(F.sum("n").alias("rows"))
-    placed = placed.join(totals, group)
+    placed = with_ordered(counts, group, ["value"], {"before": SumBefore("n")}, max_rows)
+    totals = counts.groupBy(*[F.col(key).alias(f"__{key}") for key in group]).agg(F.sum("n").alias("rows"))
+    match = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in group])
+    placed = placed.join(totals, match)
     found = []
     for name, fraction in fractions.items():
         rank = F.lit(fraction) * (F.col("rows") - 1)
@@ -70,12 +73,9 @@ def _quantiles_by_rank(counts, group, fractions, max_rows) -> DataFrame:
     return picked.select(*group, *result)
 
 
-def medians_from_counts(
-    counts: DataFrame, keys: Sequence[str], columns: Sequence[str], max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
-    """``keys`` with the exact median of each column; a column without values has a null median."""
-    long = quantiles_from_counts(counts, keys, columns, {"median": 0.5}, max_rows)
-    wide = [F.max(F.when(F.col("measure") == name, F.col("median"))).alias(name) for name in columns]
+def one_column_each(long: DataFrame, keys: Sequence[str], columns: Sequence[str], value: str) -> DataFrame:
+    """One row per ``keys`` with each measure's ``value`` under the measure's name; null where there is none."""
+    wide = [F.max(F.when(F.col("measure") == name, F.col(value))).alias(name) for name in columns]
     return long.groupBy(*keys).agg(*wide)
 
 
@@ -83,7 +83,8 @@ def grouped_median(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], max_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """``keys`` with the exact median of each column, nulls skipped."""
-    return medians_from_counts(value_counts(df, keys, columns), keys, columns, max_rows)
+    long = grouped_quantiles(df, keys, columns, {"median": 0.5}, max_rows)
+    return one_column_each(long, keys, columns, "median")
 
 
 def grouped_quantiles(
@@ -94,4 +95,4 @@ def grouped_quantiles(
     max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``keys``, ``measure`` and the named exact quantiles, nulls skipped."""
-    return quantiles_from_counts(value_counts(df, keys, columns), keys, columns, fractions, max_rows)
+    return quantiles_from_counts(*value_counts(df, keys, columns), keys, fractions, max_rows)

@@ -39,6 +39,9 @@ def to_contests(df: DataFrame, row_key: Sequence[str], measures: Sequence[str])
 
 
 def attach(df: DataFrame, wide: DataFrame, row_key: Sequence[str]) -> DataFrame:
-    """``df`` with the columns of ``wide`` in place of its own columns of the same name."""
+    """``df`` with the columns of ``wide`` in place of its own columns of the same name.
+
+    Both have a row per contest, so neither is a side to broadcast; ``wide`` is already partitioned by its key.
+    """
     replaced = [name for name in wide.columns if name in df.columns and name not in row_key]
-    return df.drop(*replaced).join(wide, list(row_key), "left")
+    return df.drop(*replaced).join(wide.hint("merge"), list(row_key), "left")

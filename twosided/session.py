@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_root: str | None = None
 
@@ -52,7 +53,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     The written table cuts the lineage, outlives lost executors and, unlike a checkpointed RDD, still lets
     later plans prune columns and push filters into the scan.
     """
+    return materialise_counted(df, label)[0]
+
+
+def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """:func:`materialise`, and the number of rows as observed while they were written."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
