@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from twosided.ml import search, training
 from twosided.operators.features import difference_features
+from twosided.plans.prepare import score_contests
 
 FEATURES = ["season_year", "home_elo", "away_elo", "noise", "flag"]
 
@@ -68,6 +69,8 @@ def test_saved_model_scores_alike(frames, tmp_path):
     one = training.with_prediction(done.model, test).select("row_id", "prediction")
     two = training.with_prediction(again, test).select("row_id", "prediction")
     assert one.exceptAll(two).isEmpty()
+    scored = score_contests(test, str(tmp_path / "model"))
+    assert scored.filter("correct").count() > majority(test) * test.count()
 
 
 def test_searches(frames):

@@ -7,9 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from twosided.functions import naming, text
-from twosided.operators.features import contest_features
-from twosided.operators.impute import clean
 from twosided.plans.merge import read_and_merge
+from twosided.plans.prepare import prepare
 from twosided.sources import readers, schemas, sinks
 
 HEADER = "Home_Team,Away_Team,Result,Link,Season,Round,League\n"
@@ -119,11 +118,13 @@ def test_read_merge_clean_and_features(spark, files):
     assert (first.match_id, first.capacity, first.home_elo) == ("arsenal/boro/2020", 60704.0, 71.5)
     assert rows["Dale, The", "Ende"].match_id is None and rows["Dale, The", "Ende"].result == "away_win"
     assert rows["City", "Ärsenal"].home_goals == 3
-    key = ["home_team", "away_team", "season_year"]
-    featured = {r.home_team: r for r in contest_features(clean(merged, key), key).collect()}
+    sources = paths(files), str(files / "info.csv"), str(files / "teams.csv"), str(files / "elo.json")
+    frame = prepare(spark, *sources, fixes, table="prepared_contests", table_path=str(files / "published"))
+    featured = {r.home_team: r for r in frame.collect()}
+    assert spark.table("prepared_contests").count() == 4 == frame.count()
     assert featured["City"].away_form == 3 + 1 and featured["City"].away_total_goals == 2
     assert featured["Boro"].home_form == 0 and featured["Boro"].away_team_away_form == 0
-    assert featured["Boro"].missing_cards and "date" not in merged.drop("date").columns
+    assert featured["Boro"].missing_cards and "date" not in frame.columns
 
 
 def test_later_maps_win(spark):

@@ -96,9 +96,9 @@ def merge_dimensions(spark, sf_dir):
 
 
 def null_key_lookup(spark, sf_dir):
-    key = F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+    key = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", key.alias("key"))
-    customers = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == 0)
+    customers = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
     other = customers.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("key"), "c_acctbal")
     return left_lookup(orders, other, "key")
 
@@ -268,7 +268,7 @@ TEXT = f"""{RAW}, results_text AS (
     CASE WHEN known THEN CAST((home_team + away_team * 5) % 6 AS DOUBLE) END AS away_yellow,
     CASE WHEN known THEN CAST((home_team * 3 + away_team) % 2 AS DOUBLE) END AS away_red
   FROM (SELECT DISTINCT home_team, away_team, season_year, (home_team + season_year) % 11 <> 0 AS known
-        FROM raw_contests WHERE (home_team + away_team) % 7 <> 0)
+        FROM raw_contests WHERE season_year <> 2001)
 ), team_info AS (
   SELECT 'team-' || s_suppkey AS team, CASE WHEN s_suppkey % 13 <> 0 THEN n_name END AS country,
     CAST(1000 * (s_suppkey % 50 + 1) + s_suppkey % 7 AS INTEGER) AS capacity
@@ -280,7 +280,7 @@ TEXT = f"""{RAW}, results_text AS (
     CASE WHEN l_partkey % 7 <> 0 THEN c_acctbal END AS home_elo,
     CASE WHEN l_partkey % 7 <> 0 THEN s_acctbal END AS away_elo
   FROM raw_contests JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_partkey % 10 <> 0
+  WHERE l_tax > 0
 )"""
 
 ORACLE = {
@@ -308,8 +308,8 @@ ORACLE = {
         LEFT JOIN team_info t ON t.team = p.home_team LEFT JOIN ratings r ON r.link = p.link""",
     "merge_dimensions": """SELECT o_orderkey, o_custkey, o_totalprice, c_name, c_nationkey, n_name FROM orders
         LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
-    "null_key_lookup": """SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN 'c' || o_custkey END AS key, c_acctbal
-        FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderkey % 3 <> 0 AND c_custkey % 2 = 0""",
+    "null_key_lookup": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 'c' || o_custkey END AS key, c_acctbal
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderstatus <> 'P' AND c_acctbal > 0""",
     "unmatched_results": f"""WITH {CONTESTS} SELECT {KEY} FROM contests ANTI JOIN (
         SELECT s_suppkey FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
         WHERE s_suppkey % 13 = 0 OR n_name IS DISTINCT FROM 'NATION_3') t ON home_team = s_suppkey""",

@@ -88,8 +88,8 @@ def mix_percent(spark, sf_dir):
 
 
 def absent_blocks(spark, sf_dir):
-    df = contest_table(spark, sf_dir).filter((F.col("season_year") + F.col("league")) % 4 != 0)
-    return profile.absent_pairs(df, "season_year", "league")
+    rated = contest_table(spark, sf_dir).filter(F.col("home_elo").isNotNull())
+    return profile.absent_pairs(rated, "season_year", "league")
 
 
 def null_report(spark, sf_dir):
@@ -209,7 +209,7 @@ def under_sampled(spark, sf_dir):
 
 
 def over_sampled(spark, sf_dir):
-    df = contest_table(spark, sf_dir).filter(F.col("season_year") == 1999).select(*ROW_KEY, "result")
+    df = contest_table(spark, sf_dir).select(*ROW_KEY, "result")
     return numbering.over_sample(df, "result", {"home_win": 0, "draw": 10**6, "away_win": 10**6}, ROW_KEY).groupBy(
         *ROW_KEY, "result"
     ).agg(F.count(F.lit(1)).alias("copies"))
@@ -340,7 +340,7 @@ ORACLE = {
     "mix_percent": f"""{C} SELECT season_year, {
         ", ".join(f"round(100.0 * count(*) FILTER (result = '{r}') / count(*), 6) AS {r}" for r in RESULTS)
     } FROM contests GROUP BY season_year""",
-    "absent_blocks": f"""{C}, kept AS (SELECT season_year, league FROM contests WHERE (season_year + league) % 4 <> 0)
+    "absent_blocks": f"""{C}, kept AS (SELECT season_year, league FROM contests WHERE home_elo IS NOT NULL)
         SELECT s.season_year, l.league FROM (SELECT DISTINCT season_year FROM kept) s
         CROSS JOIN (SELECT DISTINCT league FROM kept) l
         WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.season_year = s.season_year AND k.league = l.league)""",
@@ -392,7 +392,7 @@ ORACLE = {
           <= CASE result WHEN 'home_win' THEN 200 WHEN 'draw' THEN 150 ELSE 1000000000000 END""",
     "over_sampled": f"""{C}, classed AS (SELECT {KEY}, result, count(*) OVER (PARTITION BY result) AS size,
           row_number() OVER (PARTITION BY result ORDER BY {DRAW}, {KEY}) - 1 AS place
-        FROM contests WHERE season_year = 1999),
+        FROM contests),
         sizes AS (SELECT DISTINCT result, size FROM classed WHERE result <> 'home_win'),
         draws AS (SELECT result, CAST('0x' || substr(md5(concat_ws('|', '42', result, i)), 1, 15) AS BIGINT) % size
             AS place, count(*) AS times
