@@ -65,7 +65,12 @@ def preparation(
 def logistic(rows: int, c: float = 1.0, max_iter: int = 100) -> LogisticRegression:
     """Multinomial logistic regression with an L2 penalty of ``1 / (c * rows)`` on unscaled coefficients."""
     return LogisticRegression(
-        family="multinomial", elasticNetParam=0.0, regParam=1.0 / (c * rows), standardization=False, maxIter=max_iter
+        family="multinomial",
+        elasticNetParam=0.0,
+        regParam=1.0 / (c * rows),
+        standardization=False,
+        maxIter=max_iter,
+        tol=1e-4,
     )
 
 
