@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from twosided.session import materialise
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row per ``keys`` along ``order``.
@@ -23,12 +25,13 @@ def flag_duplicates(
 ) -> DataFrame:
     """Flag each row that repeats an earlier one (``keep='first'``) or shares its keys at all (``keep=None``).
 
-    The groups with several rows are found by an aggregate, counted before the shuffle, and joined back: no group
-    passes through one task, and adaptive execution can split a skewed join.
+    The groups with several rows are found by an aggregate, counted before the shuffle, and joined back from a
+    written table: it is broadcast if its files are small, and otherwise adaptive execution can split a skewed join,
+    which it cannot when one side is an aggregate.
     """
     place = F.struct(*order)
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"), F.min(place).alias("__first"))
-    groups = groups.filter(F.col("__copies") > 1)
+    groups = materialise(groups.filter(F.col("__copies") > 1), "copies")
     joined = df.join(groups, list(keys), "left")
     repeated = F.col("__copies").isNotNull()
     if keep == "first":

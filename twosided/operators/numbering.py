@@ -61,10 +61,14 @@ def _bucketed(df: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
 
 
 def _offsets(df: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Rows before each random range of a group: at most 65,536 rows per group."""
+    """Rows before each random range of a group: at most 65,536 rows per group.
+
+    Written, so that it brings no partitioning by group along, which a join would then impose on all rows.
+    """
     counts = df.groupBy(*groups, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    offsets = counts.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return materialise(offsets, "offsets")
 
 
 def with_random_place(df: DataFrame, groups: Sequence[str], key: Sequence[str], seed: int, name: str) -> DataFrame:

@@ -197,7 +197,8 @@ def _by_slices(rows, keys, order, columns, slices: int) -> DataFrame:
     placed = numbered.withColumns(local)
 
     carried = _carried(numbered, keys, order, columns, slice_keys)
-    # An unmatched join on nullable keys would lose the carry, so compare them null-safely.
+    # Written, so that its partitioning by group is not imposed on the slices by the join. Keys may be null.
+    carried = materialise(carried, "carried")
     carried = carried.select(*[F.col(key).alias(f"__{key}") for key in slice_keys], *[f"__carry_{n}" for n in columns])
     match = reduce(lambda a, b: a & b, [placed[key].eqNullSafe(carried[f"__{key}"]) for key in slice_keys])
     joined = placed.join(carried, match, "left")

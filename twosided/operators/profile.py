@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from twosided.operators.numbering import with_row_ids
 from twosided.operators.quantiles import grouped_quantiles
+from twosided.session import materialise
 
 
 def distinct_per_block(df: DataFrame, block: Sequence[str], column: str, name: str) -> DataFrame:
@@ -150,7 +151,7 @@ def quantiles_by_class(
 def ordinal_codes(df: DataFrame, column: str, name: str = "code") -> DataFrame:
     """``df`` with the place of the value among the sorted distinct values, from 0."""
     values = df.select(column).distinct().filter(F.col(column).isNotNull())
-    return df.join(with_row_ids(values, [column], name), column, "left")
+    return df.join(materialise(with_row_ids(values, [column], name), "codes"), column, "left")
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twosided.operators.ordered import MAX_GROUP_ROWS, SumBefore, with_ordered
-from twosided.session import materialise_counted
+from twosided.session import materialise, materialise_counted
 
 # Distinct values that one aggregate may hold in memory.
 MAX_VALUES = 500_000
@@ -56,6 +56,7 @@ def _quantiles_by_rank(counts, group, fractions, max_rows) -> DataFrame:
     # Each value covers the ranks from the rows before it up to its own count.
     placed = with_ordered(counts, group, ["value"], {"before": SumBefore("n")}, max_rows)
     totals = counts.groupBy(*[F.col(key).alias(f"__{key}") for key in group]).agg(F.sum("n").alias("rows"))
+    totals = materialise(totals, "totals")
     match = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in group])
     placed = placed.join(totals, match)
     found = []
