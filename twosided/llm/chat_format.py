@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twosided.llm.common import col
+from twosided.llm.common import col, let
 
 #: Turn numbers that are collected together.
 SLICE = 256
@@ -47,9 +47,9 @@ def _runs(turns: Column) -> Column:
     places = F.sequence(F.lit(0), F.size(turns) - 1)
     at = lambda i: F.get(turns, i)
     starts = F.filter(places, lambda i: (i == 0) | (at(i)["role"] != at(i - 1)["role"]))
-    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(turns)))
-    return F.zip_with(starts, ends, lambda a, b: F.struct(
-        at(a)["role"].alias("role"), F.transform(F.slice(turns, a + 1, b - a), lambda t: t["text"]).alias("texts")))
+    return let(starts, lambda starts: F.zip_with(
+        starts, F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(turns))), lambda a, b: F.struct(
+            at(a)["role"].alias("role"), F.transform(F.slice(turns, a + 1, b - a), lambda t: t["text"]).alias("texts"))))
 
 
 def _merged(left: Column, right: Column) -> Column:
@@ -86,25 +86,28 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
         col(conv).alias("conv"), F.floor(col(turn) / SLICE).alias("slice"),
         F.struct(col(turn).alias("turn"), F.coalesce(col(role), F.lit("")).alias("role"),
                  F.coalesce(col(text), F.lit("")).alias("text")).alias("row"))
-    pieces = rows.groupBy("conv", "slice").agg(_runs(F.array_sort(F.collect_list("row"))).alias("runs"))
+    pieces = rows.groupBy("conv", "slice").agg(let(F.array_sort(F.collect_list("row")), _runs).alias("runs"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("slice", "runs"))), lambda x: x["runs"])
+    joined = lambda slices: F.when(F.size(slices) == 1, F.get(slices, F.lit(0))).otherwise(F.aggregate(slices, empty, _merged))
     empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
-    whole = pieces.groupBy("conv").agg(ordered.alias("slices")).select("conv", F.when(
-        F.size("slices") == 1, F.get("slices", F.lit(0))).otherwise(F.aggregate("slices", empty, _merged)).alias("runs"))
-    marked = whole.select("conv", F.flatten(F.transform("runs", _marked)).alias("pieces"))
-    return marked.select(
-        "conv", F.array_join(F.transform("pieces", lambda x: x["text"]), "").alias("formatted"),
-        F.transform("pieces", lambda x: F.struct(F.char_length(x["text"]).alias("length"), x["loss"].alias("loss"))).alias("loss_mask"))
+    whole = pieces.groupBy("conv").agg(let(ordered, joined).alias("runs"))
+    marked = whole.select("conv", let(F.flatten(F.transform("runs", _marked)), lambda pieces: F.struct(
+        F.array_join(F.transform(pieces, lambda x: x["text"]), "").alias("formatted"),
+        F.transform(pieces, lambda x: F.struct(F.char_length(x["text"]).alias("length"), x["loss"].alias("loss"))).alias("loss_mask"),
+    )).alias("chat"))
+    return marked.select("conv", "chat.formatted", "chat.loss_mask")
 
 
 def turns_of(formatted: Column) -> Column:
     """The turns ``(role, text)`` that the marks of a formatted text tell, unescaped."""
     def turns(run: Column) -> Column:
-        parts = F.split(F.regexp_replace(run, r"^(?:\[INST\]|<s>|<role>)", ""), SEPARATOR)
+        body = F.split(F.regexp_replace(run, r"^(?:\[INST\]|<s>|<role>)", ""), SEPARATOR)
         named = F.startswith(run, F.lit(ROLE))
-        role = F.when(F.startswith(run, F.lit(USER)), "user").when(named, unescape(F.get(parts, F.lit(0)))).otherwise("assistant")
-        texts = F.when(named, F.slice(parts, 2, F.size(parts))).otherwise(parts)
-        return F.transform(texts, lambda x: F.struct(role.alias("role"), unescape(x).alias("text")))
+        role = lambda parts: F.when(F.startswith(run, F.lit(USER)), "user").when(
+            named, unescape(F.get(parts, F.lit(0)))).otherwise("assistant")
+        return let(body, lambda parts: let(role(parts), lambda name: F.transform(
+            F.when(named, F.slice(parts, 2, F.size(parts))).otherwise(parts),
+            lambda x: F.struct(name.alias("role"), unescape(x).alias("text")))))
 
     return F.flatten(F.transform(F.filter(F.split(formatted, _CLOSING), lambda run: run != ""), turns))
 

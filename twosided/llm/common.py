@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def text_of(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once although the body names it several times or inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def fold(name: str) -> Column:
     """The fold of a row, crc32 of its id as text modulo 5; a null id counts as the empty text."""
     return F.crc32(F.coalesce(col(name).cast("string"), F.lit("")).cast("binary")) % 5

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twosided.llm import bpe, chat_format, line_dedup, simhash, tiling, toxicity
+from twosided.llm import bpe, chat_format, license_scan, line_dedup, simhash, tiling, toxicity, warc
 from twosided.llm.common import fold, table
 
 
@@ -48,6 +48,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it covers."""
     found = tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -55,6 +59,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("tiles").alias("n_tiles"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each line, or whole text as line -1, and each license that it matches."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(F.col("id").alias("doc_id"), "line_no", "license", F.round("dice", 9).alias("dice"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each document the number of its lines and the numbers, from 0, of those that repeat an earlier line."""
     return line_dedup.report(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
@@ -65,7 +75,9 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
+    "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
+    "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -89,4 +101,40 @@ SELECT conv_id, count(*) AS n_turns,
     + CASE WHEN more THEN 0 WHEN role = 'assistant' THEN 4 ELSE 7 END)::BIGINT AS formatted_chars
 FROM placed GROUP BY conv_id
 """
-ORACLE: dict[str, str] = {"op1_chat_format": OP1_SQL}
+# DuckDB has no base32, so the digest's letters are taken five bits at a time from the hexadecimal digits.
+OP7_SQL = """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+    strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+), coded AS (
+  SELECT *, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) % 32 + 1, 1)), 'string_agg', '') AS digest
+  FROM hashed
+), large AS (SELECT digest, max(page_id) AS largest FROM coded GROUP BY digest HAVING count(*) > 1)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+  CASE WHEN largest IS NOT NULL AND page_id IS DISTINCT FROM largest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN largest IS NOT NULL AND page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+FROM coded LEFT JOIN large USING (digest)
+"""
+_QUOTED = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in item)) for item in license_scan.TEMPLATES.items())
+OP9_SQL = rf"""
+WITH template(license, unit) AS (VALUES {_QUOTED}),
+lines AS (
+  SELECT doc_id, n - 1 AS line_no, string_split(coalesce(text, ''), chr(10))[n] AS unit
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS n FROM documents)
+  UNION ALL
+  SELECT doc_id, -1, text FROM documents WHERE contains(text, chr(10))
+), units AS (
+  SELECT doc_id, line_no, '' AS license, unit FROM lines UNION ALL SELECT NULL, NULL, license, unit FROM template
+), words AS (
+  SELECT *, string_split(trim(regexp_replace(lower(unit), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM units
+), pairs AS (
+  SELECT *, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs FROM words
+), matched AS (
+  SELECT u.doc_id, u.line_no, t.license,
+    2.0 * len(list_intersect(u.pairs, t.pairs)) / (len(u.pairs) + len(t.pairs)) AS dice
+  FROM (FROM pairs WHERE license = '' AND len(pairs) BETWEEN 1 AND 200) u, (FROM pairs WHERE license <> '') t
+)
+SELECT doc_id, line_no::INTEGER AS line_no, license, round(dice, 9) AS dice FROM matched WHERE dice >= 0.8
+"""
+ORACLE: dict[str, str] = {"op1_chat_format": OP1_SQL, "op7_warc": OP7_SQL, "op9_license_scan": OP9_SQL}
