@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twosided.llm import bpe, chat_format, license_scan, line_dedup, simhash, tiling, toxicity, warc
+from twosided.llm import bpe, chat_format, license_scan, line_dedup, simhash, spotsigs, tiling, toxicity, warc
 from twosided.llm.common import fold, table
 
 
@@ -48,6 +48,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.against_next(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
+    "op6_spotsigs": op6_spotsigs,
     "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
