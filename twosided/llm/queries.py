@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twosided.llm import bpe, chat_format, license_scan, line_dedup, simhash, spotsigs, tiling, toxicity, warc
+from twosided.llm import bpe, chat_format, license_scan, line_dedup, lm_score, simhash, spotsigs, tiling, toxicity, warc
 from twosided.llm.common import fold, table
 
 
@@ -30,6 +30,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(docs, "text", vocabulary_path()).drop("text")
@@ -76,6 +80,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_lm_score": op2_lm_score,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,

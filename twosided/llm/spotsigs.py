@@ -105,23 +105,22 @@ def near_pairs(df: DataFrame, id_col: str, text_col: str, at_least: float = MIN_
 
 
 def _neighbours(df: DataFrame) -> DataFrame:
-    """``(id, chosen, previous, length)``: each id, the smallest hash of its texts, the id before it, of the first the last,
+    """``(own, chosen, previous, length)``: each key, the smallest hash of its texts, the key before it, of the first the last,
     and the length of that one's longest text.
 
-    Ids are dealt out by range, so only ids of a range are sorted in one task; the ranges' ends meet in a table of one row for
-    each range.
+    Keys are dealt out by range, so only keys of a range are sorted in one task; the ranges' ends meet in a table of one row
+    for each range.
     """
-    own = df.groupBy("id").agg(F.max(F.char_length("text")).alias("length"), F.min(F.xxhash64("text")).alias("chosen"))
-    order = F.struct(F.col("id").isNotNull().alias("known"), "id")
-    ranged = materialise(own.repartitionByRange("id").select("id", "length", "chosen", F.spark_partition_id().alias("part")), "ranges")
-    last = ranged.groupBy("part").agg(F.max(F.struct(order.alias("o"), "length")).alias("last"))
+    own = df.groupBy("key").agg(F.max(F.char_length("text")).alias("length"), F.min(F.xxhash64("text")).alias("chosen"))
+    ranged = materialise(own.repartitionByRange("key").withColumn("part", F.spark_partition_id()), "ranges")
+    here = F.struct("key", "length")
     ends = Window.orderBy("part")
-    before = last.select("part", F.coalesce(F.lag("last").over(ends), F.last("last").over(
-        ends.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
-    within = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first())
-    here = F.struct(order.alias("o"), "length")
+    final = F.last("last").over(ends.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    before = ranged.groupBy("part").agg(F.max(here).alias("last")).select(
+        "part", F.coalesce(F.lag("last").over(ends), final).alias("before"))
+    within = Window.partitionBy("part").orderBy("key")
     return ranged.withColumn("here", F.lag(here).over(within)).join(before, "part").withColumn(
-        "from", F.coalesce("here", "before")).select("id", "chosen", F.col("from.o.id").alias("previous"), F.col("from.length").alias("length"))
+        "from", F.coalesce("here", "before")).select(F.col("key").alias("own"), "chosen", F.col("from.key").alias("previous"), "from.length")
 
 
 def against_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -131,20 +130,20 @@ def against_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     document; next by ascending id, a null id before all others, and after the last the first. Among rows of one id the next
     document is the one with the smallest text hash. A null text counts as empty; no rows give no rows.
     """
-    docs = df.select(col(id_col).alias("id"), text_of(text_col).alias("text"))
+    # The key is never null: a null id is one that is not known, which comes first.
+    key = F.struct(col(id_col).isNotNull().alias("known"), col(id_col).alias("id")).alias("key")
+    docs = df.select(key, text_of(text_col).alias("text"))
     near = materialise(_neighbours(docs), "neighbours")
-    same = lambda a, b: a.eqNullSafe(b)
-    named = near.toDF("own", "chosen", "previous", "length")
     # Not an equality of two columns, so that the join stays one by id alone and both joins share a shuffle of the texts.
     chosen = F.xxhash64("text").bitwiseXOR(F.col("chosen")) == 0
-    first = docs.join(named, same(F.col("id"), F.col("own"))).filter(chosen)
+    first = docs.join(near, F.col("key") == F.col("own")).filter(chosen)
     heads = first.select(
         F.col("previous").alias("to"), signatures(F.col("text")).alias("next_signatures"),
         F.substr("text", F.lit(1), F.floor(F.col("length") / 2).cast("int")).alias("head"),
     ).groupBy("to").agg(F.first("head").alias("head"), F.first("next_signatures").alias("next_signatures"))
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.char_length("text") - half), F.substr("head", F.lit(1), half))
-    both = docs.join(heads, same(F.col("id"), F.col("to"))).select("id", "next_signatures", "text", edited.alias("edited"))
+    both = docs.join(heads, F.col("key") == F.col("to")).select("key.id", "next_signatures", "text", edited.alias("edited"))
     told = let(F.struct(signatures(F.col("text")).alias("x"), signatures(F.col("edited")).alias("y")), lambda s: F.struct(
         fingerprint(s["x"]).alias("fingerprint"), fingerprint(s["y"]).alias("edited_fingerprint"),
         likeness(s["x"], s["y"]).alias("near_edited"), likeness(s["x"], F.col("next_signatures")).alias("near_next"),
