@@ -191,12 +191,13 @@ def links(fingerprints: DataFrame, fp: str, max_bits: int = MAX_BITS, hot_key: i
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, hot_key: int = HOT_KEY) -> DataFrame:
-    """``(id, text_hash, fingerprint, component)``: one row for each row of ``df``.
+    """``(id, text_hash, fingerprint, root, component)``: one row for each row of ``df``.
 
     The component is the smallest id that is reachable through fingerprints at most ``max_bits`` bits apart.
     A null text counts as empty; texts without words have fingerprint zero and are linked like others. A row
     without an id takes part but gives its component no id; a component of such rows only is null. Repeated rows are
-    kept, an empty table gives no rows, and other columns are not looked at. ``text_hash`` is Spark's xxhash64.
+    kept, an empty table gives no rows, and other columns are not looked at. ``root`` names the component by its smallest
+    fingerprint, which tells components apart even where ids repeat; ``text_hash`` is Spark's xxhash64.
     """
     text = text_of(text_col)
     rows = materialise(df.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"),
@@ -206,8 +207,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, shingle: int = SH
     rooted = distinct.join(found, distinct["fingerprint"] == found["node"], "left").select(
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    of = materialise(rooted.join(least, "root").select("fingerprint", "component"), "components")
-    return rows.join(of, "fingerprint").select("id", "text_hash", "fingerprint", "component")
+    of = materialise(rooted.join(least, "root").select("fingerprint", "root", "component"), "components")
+    return rows.join(of, "fingerprint").select("id", "text_hash", "fingerprint", "root", "component")
 
 
 def keep_first(df: DataFrame, id_col: str, text_col: str, **settings) -> DataFrame:
@@ -218,9 +219,7 @@ def keep_first(df: DataFrame, id_col: str, text_col: str, **settings) -> DataFra
     """
     found = near_duplicates(df, id_col, text_col, **settings)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
-    component = F.coalesce("component", "fingerprint")
-    kept = found.groupBy(F.col("component").isNull().alias("none"), component.alias("component")).agg(
-        F.min(order).alias("first"))
+    kept = found.groupBy("root").agg(F.min(order).alias("first"))
     wanted_id, wanted_hash, place = fresh(df, "wanted_id", "wanted_hash", "place")
     # The list of survivors is written, so that Spark knows its size when it chooses the join.
     survivors = materialise(kept.select(F.col("first.id").alias(wanted_id), F.col("first.text_hash").alias(wanted_hash)), "survivors")
