@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from twosided.operators import corrections, dedupe, numbering, profile
+from twosided.functions import text
+from twosided.operators import corrections, dedupe, numbering, ordered, profile
 from twosided.operators.joins import left_lookup, unmatched
 from twosided.operators.quantiles import grouped_median, grouped_quantiles
 
@@ -29,10 +30,10 @@ def test_medians_and_quantiles_are_exact(spark, max_rows):
         assert np.allclose(found[name], pdf.groupby("k").x.quantile(fraction))
 
 
-@pytest.mark.parametrize("max_rows", [30, 10**6])
-def test_row_ids_are_dense_and_ordered(spark, max_rows):
+@pytest.mark.parametrize("slices", [None, 1, 13])
+def test_row_ids_are_dense_and_ordered(spark, slices):
     df = spark.range(300).select((F.col("id") * 7919 % 300).alias("v"))
-    got = numbering.with_row_ids(df, ["v"], max_rows=max_rows)
+    got = numbering.with_row_ids(df, ["v"], slices=slices)
     assert got.filter("v <> row_id").isEmpty() and got.count() == 300
 
 
@@ -134,3 +135,33 @@ def test_reports_on_columns(spark):
     assert shape["y"] == ("int", 500, 500) and shape["x"] == ("double", 500 - nulls["x"], 500)
     codes = {r.k: r.code for r in profile.ordinal_codes(df, "k").select("k", "code").distinct().collect()}
     assert codes == {"a": 0, "b": 1, "c": 2}
+
+
+def test_null_keys_and_classes_keep_their_rows(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, "a").alias("k"), F.lit(None).cast("string").alias("none"))
+    flags = dedupe.flag_duplicates(df.limit(3), ["none"], ["id"]).orderBy("id").collect()
+    assert [r.duplicated for r in flags] == [False, True, True]
+    assert numbering.with_random_place(df, ["k"], ["id"], 1, "place").groupBy("k").agg(F.max("place")).collect() is not None
+    assert numbering.with_random_place(df, ["k"], ["id"], 1, "place").count() == 100
+    assert numbering.under_sample(df, "k", {"a": 10}, ["id"]).count() == 60
+
+
+@pytest.mark.parametrize("max_rows", [1, 7, 50, 10**6])
+def test_sums_and_quantiles_do_not_depend_on_the_slices(spark, max_rows):
+    rng = np.random.default_rng(3)
+    rows = [(int(i % 3), int(i), None if i % 11 == 0 else float(x)) for i, x in enumerate(rng.normal(0, 1000, 400))]
+    df = spark.createDataFrame(rows, "k int, i int, x double")
+    scans = {"before": ordered.SumBefore("x"), "last5": ordered.LookBackSum("x", 5)}
+    sums = [sorted(map(tuple, ordered.with_ordered(df, ["k"], ["i"], scans, n).collect())) for n in (max_rows, 10**7)]
+    assert sums[0] == sums[1]
+    fractions = {"a": 0.1, "b": 1 / 3, "c": 0.5, "d": 0.93}
+    found = [sorted(map(tuple, grouped_quantiles(df, ["k"], ["x"], fractions, n).collect())) for n in (max_rows, 10**7)]
+    assert found[0] == found[1]
+
+
+def test_dates_in_several_layouts(spark):
+    df = spark.createDataFrame([(x,) for x in ("2023-08-13", "13-08-2023", "13/08/2023", "2020-09-12 15:00:00", "05/04/2021", "N/A", None, "odd")], "d string")
+    for day_first, fifth in ((True, "2021-04-05"), (False, "2021-05-04")):
+        got = [str(r.d) for r in df.select(text.parse_date("d", day_first).alias("d")).collect()]
+        assert got == ["2023-08-13", "2023-08-13", "2023-08-13", "2020-09-12", fifth, "None", "None", "None"]
+    assert text.unparsed_dates(df, "d").first().unparsed == 1

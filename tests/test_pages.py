@@ -49,3 +49,10 @@ def test_records_attributes_and_defaults(spark):
     got = [(r.place, r.t, r.id) for r in page_records(df, ["i"], fields, Step("li"), [Step("ul")]).collect()]
     assert got == [(0, "abc", "x"), (1, "bc", "-")]
     assert page_fields(df, ["i"], {"z": Field([Step("p")], default=None)}).first().z is None
+
+
+def test_deep_pages_are_read(spark):
+    deep = "<div>" + "<p>x" * 5000 + "</div><b>end</b>"
+    df = spark.createDataFrame([(1, deep)], "page_id long, html string")
+    row = page_fields(df, ["page_id"], {"end": Field([Step("b")]), "first": Field([Step("p")])}).first()
+    assert row.end == "end" and row.first == "x" * 5000

@@ -154,3 +154,26 @@ def test_text_fields(spark):
     names = naming.rename_with(df.limit(0), naming.with_side("home", keep=("y",)))
     assert names.columns == ["home_d", "y", "home_t"]
     assert naming.rename_with(names, naming.without_side("home")).columns == ["d", "y", "t"]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Away_Team,Home_Team,Season,Result,Link,Round,League\nB,A,2020,1-0,x,1,serie_a\n")
+    row = readers.scan_results(spark, str(tmp_path / "a.csv")).first()
+    assert (row.home_team, row.away_team, row.season_year) == ("A", "B", 2020)
+    (tmp_path / "b.csv").write_text(HEADER + "A,B,1-0,x,20x0,1,serie_a\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.scan_results(spark, str(tmp_path / "b.csv")).collect()
+
+
+def test_zip_members_keep_quoted_line_ends(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("Results_2020_x.csv", HEADER + '"A\nB",C,1-0,x,2020,1,serie_a\n')
+        archive.writestr("Results_2021_x.csv", "Away_Team,Home_Team,Season,Result,Link,Round,League\nB,A,2021,1-0,x,1,serie_a\n")
+        archive.writestr("Results_2022_x.csv", "")
+    rows = {r.season_year: (r.home_team, r.away_team) for r in readers.scan_zipped_results(spark, str(tmp_path / "a.zip")).collect()}
+    assert rows == {2020: ("A\nB", "C"), 2021: ("A", "B")}
+
+
+def test_year_first_dates_in_day_first_files(spark, tmp_path):
+    (tmp_path / "i.csv").write_text("Link,Date_New,Referee,Home_Yellow,Home_Red,Away_Yellow,Away_Red\nx,2023-08-13,Name,1,0,0,0\ny,13/08/2023,Name,1,0,0,0\n")
+    assert {str(r.date) for r in readers.scan_match_info(spark, str(tmp_path / "i.csv"), day_first=True).collect()} == {"2023-08-13"}

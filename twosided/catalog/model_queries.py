@@ -13,7 +13,7 @@ from twosided.plans.contest_view import ROW_KEY, contest_table, feature_table
 from twosided.session import new_path
 
 LAST_TRAIN, LAST_VALID = 1999, 2000
-SCALED = ["home_form", "away_form", "home_total_goals", "match_round"]
+SCALED = [name for name in FEATURES if not name.startswith("missing")]
 
 
 def _splits(spark, sf_dir):
@@ -38,16 +38,16 @@ def _scaled(spark, sf_dir, scaler):
     train, valid, _ = _splits(spark, sf_dir)
     model = training.preparation(SCALED, scaler).fit(train)
     values = vector_to_array("features")
-    columns = [F.round(values[i], 6).alias(name) for i, name in enumerate(SCALED)]
-    return model.transform(valid.select(*ROW_KEY, *[F.col(n).alias(n) for n in SCALED])).select(*ROW_KEY, *columns)
+    columns = [F.round(values[i], 5).alias(f"scaled_{name}") for i, name in enumerate(SCALED)]
+    return model.transform(valid).select(*ROW_KEY, *columns)
 
 
 def standard_scaled(spark, sf_dir):
-    return _scaled(spark, sf_dir, "standard").drop("match_round")
+    return _scaled(spark, sf_dir, "standard")
 
 
 def minmax_scaled(spark, sf_dir):
-    return _scaled(spark, sf_dir, "minmax").drop("match_round")
+    return _scaled(spark, sf_dir, "minmax")
 
 
 def _ruled(spark, sf_dir):
@@ -87,8 +87,6 @@ def train_score(spark, sf_dir):
 def difference_model(spark, sf_dir):
     train, valid, _ = (difference_features(df) for df in _splits(spark, sf_dir))
     features = ["season_year", "match_round", "capacity", "missing_cards", "missing_elo", *DIFFERENCES]
-    gaps_filled = {"elo_diff": 0.0}
-    train, valid = train.na.fill(gaps_filled), valid.na.fill(gaps_filled)
     model = training.logistic(train.count(), max_iter=20)
     done = training.train_and_score(model, train, valid, features, "minmax")
     return training.coefficients(done.model, features)
@@ -230,12 +228,15 @@ RULED = f"WITH {CONTESTS}, ruled AS (SELECT *, {RULE} AS prediction FROM contest
 
 
 def _scaled_sql(formula):
-    columns = ", ".join(f"round({formula.format(x=n)}, 6) AS {n}" for n in SCALED if n != "match_round")
-    bounds = ", ".join(
-        f"{f}({n}) AS {f}_{n}" for n in SCALED for f in ("avg", "stddev_samp", "min", "max")
-    )
-    return f"""{FEATURED} SELECT {KEY}, {columns} FROM featured,
-        (SELECT {bounds} FROM featured WHERE season_year <= {LAST_TRAIN}) WHERE season_year = {LAST_VALID}"""
+    train = f"FROM featured WHERE season_year <= {LAST_TRAIN}"
+    means = ", ".join(f"avg({n}) AS avg_{n}" for n in SCALED)
+    known = ", ".join(f"CAST(coalesce({n}, avg_{n}) AS DOUBLE) AS {n}" for n in SCALED if n != "season_year")
+    bounds = ", ".join(f"{f}({n}) AS {f}_{n}" for n in SCALED for f in ("avg", "stddev_samp", "min", "max"))
+    columns = ", ".join(f"round({formula.format(x=n)}, 5) AS scaled_{n}" for n in SCALED)
+    return f"""{FEATURED}, means AS (SELECT {means} {train}),
+        known AS (SELECT home_team, away_team, season_year, {known} FROM featured, means),
+        bounds AS (SELECT {bounds} FROM known WHERE season_year <= {LAST_TRAIN})
+        SELECT {KEY}, {columns} FROM known, bounds WHERE season_year = {LAST_VALID}"""
 
 
 def _difference(name, home, away):

@@ -98,7 +98,7 @@ def merge_dimensions(spark, sf_dir):
 def null_key_lookup(spark, sf_dir):
     key = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", key.alias("key"))
-    customers = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
+    customers = table(spark, sf_dir, "customer")
     other = customers.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("key"), "c_acctbal")
     return left_lookup(orders, other, "key")
 
@@ -125,6 +125,40 @@ def scan_results(spark, sf_dir):
     return readers.scan_results(spark, path)
 
 
+def scan_match_info(spark, sf_dir):
+    path = new_path(spark, "match-info")
+    # Another order of columns than the reader's: they are found by name.
+    sinks.write_csv(_reordered(match_info_text(spark, sf_dir)), path)
+    df = readers.scan_match_info(spark, path).withColumn("match_id", text.key_from_link()).drop("link")
+    return df.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+def _reordered(df):
+    return df.select(*reversed(df.columns))
+
+
+def scan_team_info(spark, sf_dir):
+    path = new_path(spark, "team-info")
+    teams = team_info_text(spark, sf_dir)
+    sinks.write_csv(_reordered(teams.withColumns({name: F.lit("any") for name in ("city", "stadium", "pitch")})), path)
+    return readers.scan_team_info(spark, path, "NATION_3").select("team", "country", "capacity")
+
+
+def scan_ratings(spark, sf_dir):
+    path = new_path(spark, "ratings")
+    ratings_map(spark, sf_dir).write.json(path)
+    return readers.scan_ratings(spark, path)
+
+
+def unparsed_dates(spark, sf_dir):
+    """Dates in several layouts, some of them none."""
+    layouts = ["yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss", "'no date'"]
+    place = F.col("o_orderkey") % len(layouts)
+    spelled = F.coalesce(*[F.when(place == i, F.date_format("o_orderdate", layout)) for i, layout in enumerate(layouts)])
+    orders = table(spark, sf_dir, "orders").select(spelled.alias("spelled"))
+    return text.unparsed_dates(orders, "spelled", day_first=True)
+
+
 def csv_round_trip(spark, sf_dir):
     path = new_path(spark, "contests-csv")
     df = contest_table(spark, sf_dir).select(*ROW_KEY, "league", "result", "home_goals", "away_goals", "home_elo")
@@ -158,7 +192,7 @@ def latest_per_key(spark, sf_dir):
         last = F.max_by(F.struct("event_id", "value"), "event_id").alias("last")
         return events.filter(F.col("event_type") == kind).groupBy("user_id").agg(last).select("user_id", "last.*")
 
-    kinds = ["click", "error", "purchase", "signup", "view"]
+    kinds = [row[0] for row in events.select("event_type").distinct().orderBy("event_type").collect()]  # a handful of types
     return readers.merge_maps([source(kind) for kind in kinds], "user_id")
 
 
@@ -222,6 +256,10 @@ QUERIES = {
     "unmatched_results": unmatched_results,
     "season_filter": season_filter,
     "scan_results": scan_results,
+    "scan_match_info": scan_match_info,
+    "scan_team_info": scan_team_info,
+    "scan_ratings": scan_ratings,
+    "unparsed_dates": unparsed_dates,
     "csv_round_trip": csv_round_trip,
     "table_round_trip": table_round_trip,
     "concatenated": concatenated,
@@ -259,7 +297,8 @@ TEXT = f"""{RAW}, results_text AS (
     CASE WHEN home_goals > away_goals THEN 0 WHEN home_goals = away_goals THEN 1 ELSE 3 END AS away_points
   FROM goals
 ), match_info AS (
-  SELECT 'team-' || home_team || '/team-' || away_team || '/' || season_year AS match_id,
+  SELECT 'team-' || home_team || '/team-' || away_team || '/'
+      || CASE WHEN season_year = 2001 THEN 2101 ELSE season_year END AS match_id,
     CASE WHEN home_team % 10 <> 0 THEN season_year || '-' || lpad(CAST(home_team % 12 + 1 AS VARCHAR), 2, '0')
       || '-' || lpad(CAST(away_team % 28 + 1 AS VARCHAR), 2, '0') END AS date,
     CASE WHEN away_team % 8 <> 0 THEN 'J. O-é ' || away_team % 9 END AS referee,
@@ -268,7 +307,7 @@ TEXT = f"""{RAW}, results_text AS (
     CASE WHEN known THEN CAST((home_team + away_team * 5) % 6 AS DOUBLE) END AS away_yellow,
     CASE WHEN known THEN CAST((home_team * 3 + away_team) % 2 AS DOUBLE) END AS away_red
   FROM (SELECT DISTINCT home_team, away_team, season_year, (home_team + season_year) % 11 <> 0 AS known
-        FROM raw_contests WHERE season_year <> 2001)
+        FROM raw_contests)
 ), team_info AS (
   SELECT 'team-' || s_suppkey AS team, CASE WHEN s_suppkey % 13 <> 0 THEN n_name END AS country,
     CAST(1000 * (s_suppkey % 50 + 1) + s_suppkey % 7 AS INTEGER) AS capacity
@@ -276,11 +315,11 @@ TEXT = f"""{RAW}, results_text AS (
   WHERE s_suppkey % 13 = 0 OR n_name IS DISTINCT FROM 'NATION_3'
 ), ratings AS (
   SELECT DISTINCT 'https://scores.example.com/match/team-' || home_team || '/team-' || away_team || '/'
-      || season_year || '-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS link,
+      || season_year || '-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
+      || CASE WHEN l_tax > 0 THEN '' ELSE '-untaxed' END AS link,
     CASE WHEN l_partkey % 7 <> 0 THEN c_acctbal END AS home_elo,
     CASE WHEN l_partkey % 7 <> 0 THEN s_acctbal END AS away_elo
   FROM raw_contests JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_tax > 0
 )"""
 
 ORACLE = {
@@ -309,7 +348,7 @@ ORACLE = {
     "merge_dimensions": """SELECT o_orderkey, o_custkey, o_totalprice, c_name, c_nationkey, n_name FROM orders
         LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "null_key_lookup": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 'c' || o_custkey END AS key, c_acctbal
-        FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderstatus <> 'P' AND c_acctbal > 0""",
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderstatus <> 'P'""",
     "unmatched_results": f"""WITH {CONTESTS} SELECT {KEY} FROM contests ANTI JOIN (
         SELECT s_suppkey FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
         WHERE s_suppkey % 13 = 0 OR n_name IS DISTINCT FROM 'NATION_3') t ON home_team = s_suppkey""",
@@ -317,13 +356,16 @@ ORACLE = {
         WHERE season_year = 1998 AND league = 3""",
     "scan_results": f"""WITH {TEXT} SELECT home_team, away_team, score, link, season_year, match_round, league
         FROM results_text WHERE score <> 'N/A-N/A'""",
+    "scan_match_info": f"WITH {TEXT} SELECT * FROM match_info",
+    "scan_team_info": f"WITH {TEXT} SELECT * FROM team_info",
+    "scan_ratings": f"WITH {TEXT} SELECT * FROM ratings",
+    "unparsed_dates": "SELECT count(*) FILTER (o_orderkey % 4 = 3) AS unparsed FROM orders",
     "csv_round_trip": f"""WITH {CONTESTS} SELECT {KEY}, league, result, home_goals, away_goals, home_elo
         FROM contests""",
     "table_round_trip": f"WITH {CONTESTS} SELECT {KEY}, league, result, capacity FROM contests",
     "concatenated": """SELECT 'customer' AS kind, c_custkey AS key, c_name AS name FROM customer
         UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier""",
     "latest_per_key": """SELECT user_id, event_id, value FROM events
-        WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view')
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC, event_id DESC) = 1""",
     "flatten_map": """SELECT event_id, e.key AS name, TRY_CAST(e.value AS DOUBLE) AS setting
         FROM events, LATERAL (SELECT unnest(map_entries(CAST(CAST(props AS JSON) AS MAP(VARCHAR, VARCHAR)))) AS e)""",

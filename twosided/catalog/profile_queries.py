@@ -1,5 +1,6 @@
 """Profiles, duplicates, gaps, row numbers and samples."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from twosided.catalog.contest_sql import CONTESTS, RAW
@@ -8,13 +9,15 @@ from twosided.catalog.parse_queries import KEY, LEAGUE_SQL
 from twosided.functions.text import league_labels
 from twosided.operators import dedupe, numbering, profile
 from twosided.operators.impute import ELO
-from twosided.operators.quantiles import grouped_median
+from twosided.operators.ordered import LookBackSum, SumBefore, with_ordered
+from twosided.operators.quantiles import grouped_median, grouped_quantiles
 from twosided.plans.contest_view import ROW_KEY, SOURCE_ORDER, cleaned_table, contest_table, raw_contests, table
+from twosided.session import materialise
 from twosided.sources.schemas import LEAGUE_LABELS, LEAGUES
 
 RESULTS = ["home_win", "draw", "away_win"]
-TARGETS = {"home_win": 200, "draw": 150, "away_win": 1000}
-MEASURES = ["home_goals", "away_goals", "home_yellow", "capacity", "home_elo", "away_elo"]
+MEASURES = ["match_round", "home_goals", "away_goals", "home_points", "away_points", "home_yellow", "home_red", "away_yellow",
+            "away_red", "capacity", "home_elo", "away_elo"]
 
 
 def _goals():
@@ -46,6 +49,48 @@ def flag_shared(spark, sf_dir):
     return df.agg(F.count_if("shared").alias("shared"), F.count_if(~F.col("shared")).alias("alone"))
 
 
+def _orders_with_gaps(spark, sf_dir):
+    """Orders whose status, a key or class here, is null where it was ``P``."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
+
+
+def flag_null_keys(spark, sf_dir):
+    df = _orders_with_gaps(spark, sf_dir)
+    return dedupe.flag_duplicates(df, ["o_custkey", "o_orderstatus"], ["o_orderkey"], name="repeated")
+
+
+def under_sampled_null_class(spark, sf_dir):
+    return numbering.under_sample(_orders_with_gaps(spark, sf_dir), "o_orderstatus", {"O": 500, "F": 10**9}, ["o_orderkey"])
+
+
+def place_null_class(spark, sf_dir):
+    """How many rows of each class, a null one too, are numbered, and up to which place."""
+    df = numbering.with_random_place(_orders_with_gaps(spark, sf_dir), ["o_orderstatus"], ["o_orderkey"], 42, "place")
+    return df.groupBy("o_orderstatus").agg(F.count_distinct("place").alias("places"), F.max("place").alias("last"))
+
+
+def row_ids_sliced(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(*SOURCE_ORDER)
+    return numbering.with_row_ids(lines, SOURCE_ORDER, slices=37).select(*SOURCE_ORDER[:6], "row_id")
+
+
+def quantiles_by_rank(spark, sf_dir):
+    """Quantiles by the way that many distinct values take."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice", "l_quantity")
+    fractions = {"q00": 0.0, "q25": 0.25, "q50": 0.5, "q75": 0.75, "q100": 1.0}
+    df = grouped_quantiles(lines, ["l_returnflag"], ["l_extendedprice", "l_quantity"], fractions, max_rows=5_000)
+    return _rounded(df, *fractions)
+
+
+def split_running_sum(spark, sf_dir):
+    """Running and look-back sums of prices, and the last known price, along groups that are cut into slices."""
+    lines = table(spark, sf_dir, "lineitem").select(*SOURCE_ORDER)
+    scans = {"before": SumBefore("l_extendedprice"), "last3": LookBackSum("l_extendedprice", 3)}
+    df = with_ordered(lines, ["l_returnflag"], [c for c in SOURCE_ORDER if c != "l_returnflag"], scans, max_rows=4_000)
+    return _rounded(df, "before", "last3").select(*SOURCE_ORDER[:6], "before", "last3")
+
+
 def duplicate_groups(spark, sf_dir):
     raw = raw_contests(spark, sf_dir)
     return dedupe.duplicates_per_block(
@@ -160,7 +205,7 @@ def histogram(spark, sf_dir):
 
 
 def feature_histograms(spark, sf_dir):
-    return _rounded(profile.histogram(contest_table(spark, sf_dir), ["home_goals", "home_yellow", "league"], 20), "low", "high")
+    return _rounded(profile.histogram(contest_table(spark, sf_dir), ["league", "season_year", *MEASURES], 20), "low", "high")
 
 
 def quantiles_by_class(spark, sf_dir):
@@ -217,7 +262,13 @@ def over_sampled(spark, sf_dir):
 
 def sort_by_rounds(spark, sf_dir):
     df = contest_table(spark, sf_dir).select(*ROW_KEY, "league", "match_round")
-    return df.orderBy("league", "season_year", "home_team", "match_round", "away_team")
+    ordered = df.orderBy("league", "season_year", "home_team", "match_round", "away_team")
+    # The place of a row in the sorted table: within its partition, shifted by the partitions before it.
+    numbered = materialise(ordered.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "sorted")
+    counts = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    return numbered.join(shifts, "part").select(*df.columns, (F.col("at") - F.col("first") + F.col("shift")).alias("place"))
 
 
 def cleaned_nulls(spark, sf_dir):
@@ -228,6 +279,12 @@ QUERIES = {
     "keep_first": keep_first,
     "flag_repeats": flag_repeats,
     "flag_shared": flag_shared,
+    "flag_null_keys": flag_null_keys,
+    "under_sampled_null_class": under_sampled_null_class,
+    "place_null_class": place_null_class,
+    "row_ids_sliced": row_ids_sliced,
+    "quantiles_by_rank": quantiles_by_rank,
+    "split_running_sum": split_running_sum,
     "duplicate_groups": duplicate_groups,
     "teams_per_block": teams_per_block,
     "teams_per_block_wide": teams_per_block_wide,
@@ -267,6 +324,7 @@ QUERIES = {
 
 C = f"WITH {CONTESTS}"
 NAMED = f"{C}, named AS (SELECT * REPLACE ({LEAGUE_SQL} AS league) FROM contests)"
+STATUS = "nullif(o_orderstatus, 'P') AS o_orderstatus"
 RAW_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 RATE = "round(CAST(sum(home_goals + away_goals) AS DOUBLE) / count(*), 6)"
 DRAW = "md5(concat_ws('|', '42', home_team, away_team, season_year))"
@@ -283,6 +341,9 @@ CONTEST_COLUMNS = [
     "home_yellow", "home_red", "away_yellow", "away_red", "capacity", "home_elo", "away_elo",
 ]
 TYPES = {
+    "match_round": "int",
+    "home_points": "int",
+    "away_points": "int",
     "home_team": "bigint", "away_team": "bigint", "season_year": "int", "result": "string", "home_goals": "int",
     "away_goals": "int",
 }
@@ -372,7 +433,7 @@ ORACLE = {
         FROM (SELECT season_year, count(*) AS n FROM contests GROUP BY season_year)) WHERE season_year >= 1997""",
     "histogram": f"{C} {_histogram('capacity', 22)}",
     "feature_histograms": f"{C} "
-    + " UNION ALL ".join(_histogram(c, 20) for c in ("home_goals", "home_yellow", "league")),
+    + " UNION ALL ".join(_histogram(c, 20) for c in ["league", "season_year", *MEASURES]),
     "quantiles_by_class": f"""{C}, diffs AS (SELECT result, home_elo, round(home_elo - away_elo, 2) AS elo_diff
         FROM contests) {_quantiles("home_elo", "result", "diffs")}
         UNION ALL {_quantiles("elo_diff", "result", "diffs")}""",
@@ -398,7 +459,23 @@ ORACLE = {
             AS place, count(*) AS times
           FROM sizes CROSS JOIN range(1000000) r(i) WHERE i < 1000000 - size GROUP BY ALL)
         SELECT {KEY}, result, 1 + coalesce(times, 0) AS copies FROM classed LEFT JOIN draws USING (result, place)""",
-    "sort_by_rounds": f"{C} SELECT {KEY}, league, match_round FROM contests",
+    "sort_by_rounds": f"""{C} SELECT {KEY}, league, match_round, row_number() OVER (
+        ORDER BY league, season_year, home_team, match_round, away_team) - 1 AS place FROM contests""",
+    "flag_null_keys": f"""SELECT o_orderkey, o_custkey, {STATUS}, row_number() OVER (
+        PARTITION BY o_custkey, nullif(o_orderstatus, 'P') ORDER BY o_orderkey) > 1 AS repeated FROM orders""",
+    "under_sampled_null_class": f"""SELECT o_orderkey, o_custkey, {STATUS} FROM orders
+        QUALIFY o_orderstatus <> 'O' OR row_number() OVER (
+          PARTITION BY o_orderstatus ORDER BY md5(concat_ws('|', '42', o_orderkey)), o_orderkey) <= 500""",
+    "place_null_class": f"SELECT {STATUS}, count(*) AS places, count(*) - 1 AS last FROM orders GROUP BY 1",
+    "row_ids_sliced": f"""SELECT {RAW_COLUMNS}, row_number() OVER (ORDER BY {", ".join(SOURCE_ORDER)}) - 1 AS row_id
+        FROM lineitem""",
+    "quantiles_by_rank": f"""{_quantiles("l_extendedprice", "l_returnflag", "lineitem")}
+        UNION ALL {_quantiles("l_quantity", "l_returnflag", "lineitem")}""",
+    "split_running_sum": f"""SELECT {RAW_COLUMNS},
+        round(CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(28, 12))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE), 6)
+          AS before,
+        round(coalesce(sum(l_extendedprice) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0), 6) AS last3 FROM lineitem
+        WINDOW w AS (PARTITION BY l_returnflag ORDER BY {", ".join(c for c in SOURCE_ORDER if c != "l_returnflag")})""",
     "cleaned_nulls": f"""{CLEANED} {
         _column_nulls(["home_yellow", "away_red", "capacity", "home_elo"], "cleaned")
     }""",

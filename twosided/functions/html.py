@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame
 # Elements without an end tag: fixed values.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 
+#: Characters of pages after which the rows found so far are passed on.
+BATCH_CHARS = 8 << 20
+
 
 @dataclass(frozen=True)
 class Step:
@@ -47,10 +50,12 @@ class _Node:
     parts: list = field(default_factory=list)
 
     def walk(self) -> Iterator[_Node]:
-        for part in self.parts:
-            if isinstance(part, _Node):
-                yield part
-                yield from part.walk()
+        """All nodes inside, in document order; pages may be nested as deep as they like."""
+        waiting = [part for part in reversed(self.parts) if isinstance(part, _Node)]
+        while waiting:
+            node = waiting.pop()
+            yield node
+            waiting.extend(part for part in reversed(node.parts) if isinstance(part, _Node))
 
     def matching(self, step: Step) -> Iterator[_Node]:
         for node in self.walk():
@@ -62,7 +67,14 @@ class _Node:
         return next((node for i, node in enumerate(self.matching(step)) if i == step.nth), None)
 
     def text(self) -> str:
-        return "".join(part.text() if isinstance(part, _Node) else part for part in self.parts)
+        found, waiting = [], list(reversed(self.parts))
+        while waiting:
+            part = waiting.pop()
+            if isinstance(part, _Node):
+                waiting.extend(reversed(part.parts))
+            else:
+                found.append(part)
+        return "".join(found)
 
 
 class _Tree(HTMLParser):
@@ -139,10 +151,14 @@ def page_records(
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found: list[tuple] = []
+            found, held = [], 0
             for *key, page in batch.itertuples(index=False, name=None):
                 for place, node in enumerate(nodes(page)):
                     found.append((*key, place, *[_value(node, spec) for spec in fields.values()]))
+                held += len(page)
+                if held >= BATCH_CHARS:  # large pages are passed on before the batch has ended
+                    yield pd.DataFrame(found, columns=[*keys, "place", *fields])
+                    found, held = [], 0
             yield pd.DataFrame(found, columns=[*keys, "place", *fields])
 
     pages = df.select(*keys, html).filter(df[html].isNotNull())

@@ -68,9 +68,26 @@ def referee_name(column: str = "referee") -> Column:
     return extracted(column, REFEREE)
 
 
+# Date layouts in the order in which they are tried: fixed values.
+DATES = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd"]
+DAY_FIRST = ["dd-MM-yyyy", "dd/MM/yyyy", "dd.MM.yyyy", "dd-MM-yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss"]
+MONTH_FIRST = ["MM-dd-yyyy", "MM/dd/yyyy", "MM-dd-yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss"]
+
+
 def parse_date(column: str, day_first: bool = False) -> Column:
-    """A date from text, null where it is none; ISO order unless ``day_first``."""
-    return F.try_to_timestamp(F.col(column), F.lit("dd-MM-yyyy" if day_first else "yyyy-MM-dd")).cast("date")
+    """A date from text in one of several layouts, a time of day allowed; null where it is none.
+
+    Year-first text is read as such in either mode; otherwise the day comes first if ``day_first``, else the month, and the
+    other order is tried where that is no date.
+    """
+    layouts = [*DATES, *(DAY_FIRST + MONTH_FIRST if day_first else MONTH_FIRST + DAY_FIRST)]
+    return F.coalesce(*[F.try_to_timestamp(F.col(column), F.lit(layout)) for layout in layouts]).cast("date")
+
+
+def unparsed_dates(df: DataFrame, column: str, day_first: bool = False) -> DataFrame:
+    """How many values of ``column`` that stand for something are no date in any layout."""
+    known = F.col(column).isNotNull() & ~F.col(column).isin(NULL_TOKENS)
+    return df.agg(F.count_if(known & parse_date(column, day_first).isNull()).alias("unparsed"))
 
 
 def whole_number(column: str) -> Column:

@@ -12,12 +12,18 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, MinMaxScaler, StandardScaler, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    MinMaxScaler,
+    SQLTransformer,
+    StandardScaler,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twosided.operators.features import FEATURES
-from twosided.operators.impute import ELO
 from twosided.operators.numbering import over_sample, under_sample
 
 # Classes in label order (alphabetical) and in report order: fixed values.
@@ -28,9 +34,13 @@ REPORT_ORDER = ["home_win", "draw", "away_win"]
 def split_by_season(
     df: DataFrame, last_train: int = 2008, last_valid: int = 2014, season: str = "season_year"
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Train, validation and test seasons in time order; train and validation together are the final train set."""
+    """Train, validation and test seasons in time order; train and validation together are the final train set.
+
+    Rows without a season are in the test part: nothing is learned from them, and none is lost.
+    """
     year = F.col(season)
-    return df.filter(year <= last_train), df.filter((year > last_train) & (year <= last_valid)), df.filter(year > last_valid)
+    late = year.isNull() | (year > last_valid)
+    return df.filter(year <= last_train), df.filter((year > last_train) & (year <= last_valid)), df.filter(late)
 
 
 def with_label(df: DataFrame, target: str = "result", classes: Sequence[str] = CLASSES) -> DataFrame:
@@ -40,18 +50,22 @@ def with_label(df: DataFrame, target: str = "result", classes: Sequence[str] = C
 
 
 def preparation(
-    features: Sequence[str] = FEATURES, scaler: str | None = None, gaps: Sequence[str] = ELO
+    features: Sequence[str] = FEATURES, scaler: str | None = None, gaps: Sequence[str] = FEATURES, empty: Sequence[str] = ()
 ) -> Pipeline:
     """Feature columns to the ``features`` vector: gaps filled with training means, optionally scaled.
 
-    ``scaler`` is ``'standard'``, ``'minmax'`` or None. Ratings may still be missing after cleaning, as they are
-    never filled backward; trees and regressions need a number there.
+    ``scaler`` is ``'standard'``, ``'minmax'`` or None. Ratings, which are never filled backward, and a measure that a whole
+    block lacks may still be missing after cleaning; trees and regressions need a number there. ``empty`` names
+    features that are missing in all training rows (see :func:`empty_features`); they are 0, for want of a mean.
     """
     stages: list = []
-    gaps = [name for name in gaps if name in features]
-    if gaps:
-        stages.append(Imputer(inputCols=gaps, outputCols=[f"{name}_known" for name in gaps], strategy="mean"))
-    inputs = [f"{name}_known" if name in gaps else name for name in features]
+    known = [name for name in gaps if name in features and name not in empty]
+    casts = [f"CAST({name} AS DOUBLE) AS {name}_number" for name in known]
+    zeros = [f"coalesce(CAST({name} AS DOUBLE), 0D) AS {name}_known" for name in empty if name in features]
+    stages.append(SQLTransformer(statement=f"SELECT {', '.join(['*', *casts, *zeros])} FROM __THIS__"))
+    if known:
+        stages.append(Imputer(inputCols=[f"{n}_number" for n in known], outputCols=[f"{n}_known" for n in known], strategy="mean"))
+    inputs = [f"{name}_known" if name in known or name in empty else name for name in features]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features" if scaler is None else "unscaled"))
     if scaler == "standard":
         stages.append(StandardScaler(inputCol="unscaled", outputCol="features", withMean=True, withStd=True))
@@ -62,6 +76,12 @@ def preparation(
     return Pipeline(stages=stages)
 
 
+def empty_features(df: DataFrame, features: Sequence[str] = FEATURES) -> list[str]:
+    """The features that no row of ``df`` has a value of; one row of counts reaches the driver."""
+    counts = df.agg(*[F.count(name).alias(name) for name in features]).first()
+    return [name for name in features if not counts[name]]
+
+
 def logistic(rows: int, c: float = 1.0, max_iter: int = 100) -> LogisticRegression:
     """Multinomial logistic regression with an L2 penalty of ``1 / (c * rows)`` on unscaled coefficients."""
     return LogisticRegression(
@@ -131,15 +151,16 @@ def train_and_score(
     scaler: str | None = None,
 ) -> Trained:
     """Fit the preparation and the classifier on ``train`` and score both frames, which carry ``result``."""
-    steps = preparation(features, scaler).fit(train)
-    ready = steps.transform(with_label(train)).select("label", "features").persist()
+    steps = preparation(features, scaler, empty=empty_features(train, features)).fit(train)
+    target = "result"
+    ready, check = (steps.transform(with_label(df)).select(target, "label", "features").persist() for df in (train, valid))
     try:
         fitted = classifier.fit(ready)
+        scores = [accuracy(with_prediction(fitted, part)).first()["accuracy"] for part in (ready, check)]
     finally:
         ready.unpersist()
-    model = PipelineModel(stages=[*steps.stages, fitted])
-    scores = [accuracy(with_prediction(model, part)).first()["accuracy"] for part in (train, valid)]
-    return Trained(model, *scores)
+        check.unpersist()
+    return Trained(PipelineModel(stages=[*steps.stages, fitted]), *scores)
 
 
 def coefficients(model: PipelineModel, features: Sequence[str] = FEATURES, classes: Sequence[str] = CLASSES) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,12 +28,14 @@ def flag_duplicates(
 
     The groups with several rows are found by an aggregate, counted before the shuffle, and joined back from a
     written table: it is broadcast if its files are small, and otherwise adaptive execution can split a skewed join,
-    which it cannot when one side is an aggregate.
+    which it cannot when one side is an aggregate. A null key equals a null key, as in :func:`keep_first`.
     """
     place = F.struct(*order)
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"), F.min(place).alias("__first"))
     groups = materialise(groups.filter(F.col("__copies") > 1), "copies")
-    joined = df.join(groups, list(keys), "left")
+    renamed = groups.withColumnsRenamed({key: f"__key_{i}" for i, key in enumerate(keys)})
+    match = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__key_{i}")) for i, key in enumerate(keys)])
+    joined = df.join(renamed, match, "left").drop(*[f"__key_{i}" for i in range(len(keys))])
     repeated = F.col("__copies").isNotNull()
     if keep == "first":
         repeated = repeated & (place > F.col("__first"))

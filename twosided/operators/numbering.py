@@ -5,30 +5,25 @@ Random order comes from a hash of a seed and the row's key, so a row keeps its p
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twosided.operators.ordered import MAX_GROUP_ROWS
 from twosided.session import materialise
 
 _SLICE = "__slice"
 
 
-def with_row_ids(
-    df: DataFrame, order: Sequence[str], name: str = "row_id", max_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def with_row_ids(df: DataFrame, order: Sequence[str], name: str = "row_id", slices: int | None = None) -> DataFrame:
     """``df`` numbered 0..n-1 along ``order`` (a total order).
 
-    More than ``max_rows`` rows are cut into consecutive slices, numbered alone and shifted by the rows before.
+    Rows are cut into consecutive slices, as many as shuffles have partitions unless given; slices are numbered alone
+    and shifted by the rows before.
     """
-    rows = df.count()
-    if rows <= max_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long") - 1)
-    sliced = df.repartitionByRange(math.ceil(rows / max_rows) + 1, *order).withColumn(_SLICE, F.spark_partition_id())
-    sliced = materialise(sliced, "slices")
+    dealt = df.repartitionByRange(*order) if slices is None else df.repartitionByRange(slices, *order)
+    sliced = materialise(dealt.withColumn(_SLICE, F.spark_partition_id()), "slices")
     # One row per slice, so this window and the broadcast are as small as the number of slices.
     before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     counts = sliced.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("n"))
@@ -71,6 +66,14 @@ def _offsets(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     return materialise(offsets, "offsets")
 
 
+def _with_offsets(df: DataFrame, offsets: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """``df`` with its ranges' offsets; a null group is a group like others."""
+    names = [*groups, "__bucket"]
+    right = offsets.select(*[F.col(name).alias(f"__of_{i}") for i, name in enumerate(names)], "__offset")
+    match = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"__of_{i}")) for i, name in enumerate(names)])
+    return df.join(right, match).drop(*[f"__of_{i}" for i in range(len(names))])
+
+
 def with_random_place(df: DataFrame, groups: Sequence[str], key: Sequence[str], seed: int, name: str) -> DataFrame:
     """``df`` numbered 0..n-1 in random order within each group.
 
@@ -80,23 +83,27 @@ def with_random_place(df: DataFrame, groups: Sequence[str], key: Sequence[str],
     offsets = _offsets(numbered, groups)
     within = Window.partitionBy(*groups, "__bucket").orderBy("__u", *key)
     numbered = numbered.withColumn("__place", F.row_number().over(within) - 1)
-    joined = numbered.join(offsets, [*groups, "__bucket"])
+    joined = _with_offsets(numbered, offsets, groups)
     return joined.withColumn(name, F.col("__offset") + F.col("__place")).drop("__u", "__bucket", "__place", "__offset")
 
 
 def under_sample(df: DataFrame, label: str, targets: Mapping[str, int], key: Sequence[str], seed: int = 42) -> DataFrame:
     """Per class a random choice of the target number of rows without replacement; other classes stay whole.
 
-    Whole random ranges beyond a class's target are dropped before anything is ranked.
+    Rows of other classes, a null one too, are neither ranked nor shuffled. Whole random ranges beyond a class's target
+    are dropped before anything is ranked.
     """
+    chosen = F.coalesce(F.col(label).isin(list(targets)), F.lit(False))
+    whole = df.filter(~chosen)
     wanted = F.create_map(*[F.lit(item) for pair in targets.items() for item in pair])
-    numbered = _bucketed(df, key, seed)
-    target = F.coalesce(F.try_element_at(wanted, F.col(label)).cast("long"), F.lit(2**62))
+    numbered = _bucketed(df.filter(chosen), key, seed)
+    target = F.try_element_at(wanted, F.col(label)).cast("long")
     offsets = _offsets(numbered, [label])
-    kept = numbered.join(offsets, [label, "__bucket"]).filter(F.col("__offset") < target)
+    kept = _with_offsets(numbered, offsets, [label]).filter(F.col("__offset") < target)
     within = Window.partitionBy(label, "__bucket").orderBy("__u", *key)
     place = F.col("__offset") + F.row_number().over(within) - 1
-    return kept.withColumn("__place", place).filter(F.col("__place") < target).select(*df.columns)
+    sampled = kept.withColumn("__place", place).filter(F.col("__place") < target).select(*df.columns)
+    return sampled.unionByName(whole)
 
 
 def over_sample(

@@ -2,7 +2,8 @@
 
 A group is normally one window partition. A group above ``max_rows`` would make one task sort a large share of
 the table, so such groups are cut into ordered slices: each slice is computed alone and then corrected by what the
-earlier slices of its group carry in. Both ways give the same values.
+earlier slices of its group carry in. Both ways give the same values: a look-back adds the same rows in the same order,
+and running sums of floating-point columns are taken as decimals, whose sum does not depend on the order of addition.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from twosided.session import materialise
 
 MAX_GROUP_ROWS = 5_000_000
 
+#: What floating-point columns are summed as: 12 places, values below 10^16 in amount; larger ones fail.
+EXACT = "decimal(28,12)"
+
 _SLICE = "__slice"
 _BEFORE = "__rows_before"
 
@@ -45,6 +49,10 @@ class Scan(ABC):
     def combine(self, local: Column, carried: Column) -> Column:
         """The final value from the slice's own value and the carried one."""
 
+    def within(self, group: WindowSpec, reverse: WindowSpec) -> Column:
+        """The value inside one slice; by default that of a window partition."""
+        return self.over(group, reverse)
+
 
 @dataclass(frozen=True)
 class SumBefore(Scan):
@@ -66,6 +74,14 @@ class SumBefore(Scan):
         return local + carried
 
 
+class _ExactSumBefore(SumBefore):
+    """:class:`SumBefore` of a column of type ``EXACT``."""
+
+    def combine(self, local, carried):
+        # The sum of two decimals of 38 digits would lose the last place.
+        return local.cast("decimal(37,12)") + carried.cast("decimal(37,12)")
+
+
 @dataclass(frozen=True)
 class LookBackSum(Scan):
     """Sum of the previous ``rows`` rows, the current one excluded; 0 when there are none."""
@@ -79,17 +95,27 @@ class LookBackSum(Scan):
     def summary(self, position):
         # Only a slice's last rows are kept (see _slice_summaries), so this array holds at most ``rows`` items.
         tail = F.sort_array(F.collect_list(F.struct(position.alias("at"), F.col(self.column).alias("value"))))
-        return F.transform(tail, lambda item: F.coalesce(item["value"], F.lit(0)))
+        return F.transform(tail, lambda item: item["value"])
+
+    def within(self, group, reverse):
+        # The first rows of a slice look back into earlier ones, so they keep their own previous rows one by one.
+        own = F.transform(
+            F.collect_list(F.struct(F.col(self.column).alias("value"))).over(group.rowsBetween(-self.rows, -1)), lambda item: item["value"]
+        )
+        first = F.row_number().over(group) <= self.rows
+        return F.struct(self.over(group, reverse).alias("total"), F.when(first, own).alias("own"))
 
     def carry(self, earlier, later, summary):
         # Every slice holds at least one row of its group, so this many earlier slices are enough.
         return F.flatten(F.collect_list(summary).over(earlier.rowsBetween(-self.rows, -1)))
 
     def combine(self, local, carried):
-        wanted = F.greatest(F.lit(self.rows) - F.col(_BEFORE), F.lit(0))
-        taken = F.least(wanted, F.size(carried))
-        tail = F.slice(carried, F.size(carried) - taken + 1, taken)
-        return local + F.coalesce(F.aggregate(tail, local * 0, lambda total, item: total + item), F.lit(0))
+        carried = F.coalesce(carried, F.slice(local["own"], F.lit(1), F.lit(0)))
+        taken = F.least(F.lit(self.rows) - F.col(_BEFORE), F.size(carried))
+        rows = F.concat(F.slice(carried, F.size(carried) - taken + 1, taken), local["own"])
+        zero = local["total"] * 0
+        added = F.aggregate(F.filter(rows, lambda item: item.isNotNull()), zero, lambda total, item: total + item)
+        return F.when(F.col(_BEFORE) < self.rows, added).otherwise(local["total"])
 
 
 @dataclass(frozen=True)
@@ -163,6 +189,19 @@ def with_ordered(
     to look for oversized groups; ``check=False`` skips the look where a coarser grouping is known to have none.
     """
     order = list(order)
+    floating = {
+        scan.column: f"exact__{scan.column}" for scan in columns.values()
+        if isinstance(scan, SumBefore) and dict(df.dtypes)[scan.column] in ("double", "float")
+    }
+    if floating:
+        exact = {
+            name: _ExactSumBefore(floating[scan.column]) if isinstance(scan, SumBefore) and scan.column in floating else scan
+            for name, scan in columns.items()
+        }
+        sums = [name for name, scan in exact.items() if scan is not columns[name]]
+        cast = df.withColumns({exact_name: F.col(name).cast(EXACT) for name, exact_name in floating.items()})
+        done = with_ordered(cast, keys, order, exact, max_rows, df if counted_on is None else counted_on, check)
+        return done.withColumns({name: F.col(name).cast("double") for name in sums}).drop(*floating.values())
     oversized = oversized_groups(df if counted_on is None else counted_on, keys, max_rows) if check else None
     if oversized is None:
         return _one_partition_per_group(df, keys, order, columns)
@@ -192,7 +231,7 @@ def _by_slices(rows, keys, order, columns, slices: int) -> DataFrame:
     numbered = materialise(numbered, "slices")
     slice_keys = [_SLICE, *keys]
     group, reverse = _windows(slice_keys, order)
-    local = {f"__local_{name}": scan.over(group, reverse) for name, scan in columns.items()}
+    local = {f"__local_{name}": scan.within(group, reverse) for name, scan in columns.items()}
     local[_BEFORE] = F.row_number().over(group) - 1
     placed = numbered.withColumns(local)
 

@@ -38,22 +38,21 @@ def mix_percent(df: DataFrame, block: Sequence[str], column: str, values: Sequen
 
 
 def absent_pairs(df: DataFrame, index: str, column: str) -> DataFrame:
-    """Pairs of an existing ``index`` and an existing ``column`` value that no row has.
+    """Pairs of an existing ``index`` and an existing ``column`` value that no row has; null is no value.
 
-    Pivoting and melting back with nulls kept yields every pair without a cross join. Spark refuses to pivot on
-    more than ``spark.sql.pivotMaxValues`` values, which bounds what is collected here.
+    Only indexes that lack a value are paired with the values, which meet them as one array; the pairs that rows have
+    are then taken out. The result is as large as the number of absent pairs.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    values = [row[0] for row in df.select(column).distinct().orderBy(column).limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    values = [value for value in values if value is not None]
-    wide = df.groupBy(index).pivot(column, values).agg(F.count(F.lit(1)))
-    places = {str(i): value for i, value in enumerate(values)}
-    wide = wide.toDF(index, *places)
-    long = wide.unpivot(index, list(places), "place", "rows").filter(F.col("rows").isNull() & F.col(index).isNotNull())
-    names = F.create_map(*[F.lit(item) for pair in places.items() for item in pair])
-    return long.select(index, F.element_at(names, F.col("place")).alias(column))
+    present = materialise(df.select(index, column).na.drop().distinct(), "pairs")
+    # An index or value that stands only beside nulls exists too.
+    values = materialise(df.select(column).na.drop().distinct(), "values")
+    everything = values.agg(F.collect_list(column).alias("__values"), F.count(F.lit(1)).alias("__n")).withColumn("__one", F.lit(1))
+    indexes = df.select(index).na.drop().distinct()
+    counts = present.groupBy(F.col(index).alias("__index")).agg(F.count(F.lit(1)).alias("__has"))
+    known = indexes.join(counts, F.col(index) == F.col("__index"), "left").select(
+        index, F.coalesce("__has", F.lit(0)).alias("__has"), F.lit(1).alias("__one"))
+    lacking = known.join(everything, "__one").filter(F.col("__has") < F.col("__n"))
+    return lacking.select(index, F.explode("__values").alias(column)).join(present, [index, column], "left_anti")
 
 
 def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -79,14 +78,10 @@ def schema_report(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: count, mean, sample deviation, minimum, exact quartiles, maximum."""
     doubles = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    long = doubles.unpivot([], list(columns), "measure", "value")
-    basic = long.groupBy("measure").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    kinds = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    # One pass over the columns; the single row is then turned.
+    row = doubles.agg(*[F.struct(*[f(name).alias(kind) for kind, f in kinds.items()]).alias(name) for name in columns])
+    basic = row.unpivot([], list(columns), "measure", "found").select("measure", "found.*")
     quartiles = grouped_quantiles(doubles, [], columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     return basic.join(quartiles, "measure", "left")
 

@@ -42,7 +42,7 @@ def quantiles_from_counts(
 
     ``rows`` is the number of counts. One aggregate holds a group's distinct values in memory; that is used while
     all counts together are few (``MAX_VALUES``, or ``max_rows`` if smaller), and the ranks are looked up along the
-    ordered values beyond it.
+    ordered values beyond it. Both ways interpolate by the same formula.
     """
     group = [*keys, "measure"]
     if rows > min(max_rows, MAX_VALUES):
@@ -70,7 +70,9 @@ def _quantiles_by_rank(counts, group, fractions, max_rows) -> DataFrame:
     for name, fraction in fractions.items():
         rank = F.lit(fraction) * (F.col("rows") - 1)
         low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
-        result.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
+        # The formula of Spark's percentile, so that both ways give the same doubles.
+        between = (F.ceil(rank) - rank) * low + (rank - F.floor(rank)) * high
+        result.append(F.when(low == high, low).otherwise(between).alias(name))
     return picked.select(*group, *result)
 
 

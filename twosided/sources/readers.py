@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from twosided.functions import text
 from twosided.sources import schemas
@@ -26,33 +30,58 @@ def _named_results(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(schemas.RESULT_NAMES).filter(~F.col("score").contains("N/A"))
 
 
+def _by_name(spark: SparkSession, paths: str | Sequence[str], schema: str, **options) -> DataFrame:
+    """CSV files with the columns of ``schema`` taken by their names in the header, whatever their order.
+
+    Files whose headers differ from each other, a column that is absent and a number that is none are errors.
+    """
+    df = spark.read.options(**{**_CSV, **options, "enforceSchema": False}).csv(paths)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)])
+
+
 def scan_results(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All result files as one table, unplayed contests left out."""
-    return _named_results(spark.read.options(**_CSV).schema(schemas.RESULTS).csv(paths))
+    return _named_results(_by_name(spark, paths, schemas.RESULTS))
+
+
+def _open(path: str):
+    """A file of any store that pyarrow knows, open for random access."""
+    from pyarrow import fs
+
+    system, place = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+    return system.open_input_file(place)
 
 
 def scan_zipped_results(spark: SparkSession, paths: str | Sequence[str], member: str = r".*Results_.*\.csv") -> DataFrame:
-    """Results inside zip archives, one archive per row of the scan, its members read line by line.
+    """Results inside zip archives, read by the names in each member's header; quoted line ends are kept.
 
-    An archive is one task's work; extract an archive of more than about 1 GB and use :func:`scan_results`.
+    Archives are only listed at first. Their members are then dealt out to tasks, and each is read as a stream from its place
+    in the archive, so neither an archive nor a member is held whole.
     """
+    fields = T.StructType.fromDDL(schemas.RESULTS)
+    names = [f.name for f in fields]
 
-    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import re
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                with _open(path) as file, zipfile.ZipFile(file) as archive:
+                    yield pd.DataFrame([(path, x) for x in archive.namelist() if re.fullmatch(member, x)], columns=["path", "member"])
 
-        wanted = re.compile(member)
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for name in archive.namelist():
-                        if wanted.fullmatch(name):
-                            with archive.open(name) as data:
-                                rows = io.TextIOWrapper(data, "utf-8").read().splitlines()[1:]
-                            yield pd.DataFrame({"line": rows})
+            for path, name in batch.itertuples(index=False, name=None):
+                with _open(path) as file, zipfile.ZipFile(file) as archive, archive.open(name) as data:
+                    lines = csv.reader(io.TextIOWrapper(data, "utf-8", newline=""))
+                    places = {x.strip().lower(): i for i, x in enumerate(next(lines, []))}
+                    wanted = [places[x] for x in names] if places else []
+                    found = ([line[i] or None for i in wanted] for line in lines if line)
+                    while part := list(islice(found, 10_000)):
+                        yield pd.DataFrame(part, columns=names)
 
-    archives = spark.read.format("binaryFile").load(paths).select("content")
-    parsed = archives.mapInPandas(lines, "line string").select(F.from_csv("line", F.lit(schemas.RESULTS)).alias("r"))
-    return _named_results(parsed.select("r.*"))
+    archives = spark.read.format("binaryFile").load(paths).select("path")
+    listed = archives.mapInPandas(members, "path string, member string").repartition("path", "member")
+    text_rows = listed.mapInPandas(rows, ", ".join(f"{name} string" for name in names))
+    return _named_results(text_rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]))
 
 
 def scan_match_info(spark: SparkSession, paths: str | Sequence[str], day_first: bool = False) -> DataFrame:
@@ -60,7 +89,7 @@ def scan_match_info(spark: SparkSession, paths: str | Sequence[str], day_first:
 
     With ``day_first`` (newer files) dates are day first and the referee field is already a plain name.
     """
-    df = spark.read.options(**{**_CSV, "multiLine": True}).schema(schemas.MATCH_INFO).csv(paths)
+    df = _by_name(spark, paths, schemas.MATCH_INFO, multiLine=True)
     return parse_match_info(df, day_first)
 
 
@@ -72,7 +101,7 @@ def parse_match_info(df: DataFrame, day_first: bool = False) -> DataFrame:
 
 def scan_team_info(spark: SparkSession, paths: str | Sequence[str], dropped_country: str = "Portugal") -> DataFrame:
     """The teams with a numeric capacity, one country left out and teams of unknown country kept."""
-    return parse_team_info(spark.read.options(**_CSV).schema(schemas.TEAM_INFO).csv(paths), dropped_country)
+    return parse_team_info(_by_name(spark, paths, schemas.TEAM_INFO), dropped_country)
 
 
 def parse_team_info(df: DataFrame, dropped_country: str = "Portugal") -> DataFrame:

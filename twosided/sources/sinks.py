@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """CSV files with a header and no row index."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').partitionBy(*partition_by).csv(path)
+    """CSV files with a header and no row index; blanks and line ends around values are kept."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, escape='"', **kept).partitionBy(*partition_by).csv(path)
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
