@@ -15,6 +15,7 @@ import sys
 import unicodedata
 from array import array
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ from twosided.llm.common import fresh, text_of
 SHORT_WORD = 64
 #: Entries of each of a worker's two generations of cached strings (the older one is dropped when the younger is full),
 #: and the longest string that is kept.
-CACHE_ENTRIES, CACHE_CHARS = 500_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 150_000, 48
 #: Bits of a token id; a merge is held as its rank and the id that it makes.
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1
@@ -195,11 +196,21 @@ def decode(df: DataFrame, ids_col: str, path: str, decoded_col: str = "decoded")
 
 
 def digests(df: DataFrame, text_col: str, path: str) -> DataFrame:
-    """``df`` with ``n_tokens`` and the SHA-256 of the ids' bytes and of the decoded text; columns so called are replaced."""
-    ids, text = fresh(df, "token_ids", "decoded_text")
-    coded = decode(encode(df, text_col, path, ids), ids, path, text)
-    return coded.withColumns({
-        "n_tokens": (F.length(ids) / 4).cast("long"),
-        "ids_sha256": F.sha2(F.col(ids), 256),
-        "decoded_sha256": F.sha2(F.col(text), 256),
-    }).drop(ids, text)
+    """``df`` with ``n_tokens`` and the SHA-256 of the ids' bytes and of the decoded text; columns so called are replaced.
+
+    Ids and decoded text are digested where they are made, so no batch holds those of more than one text.
+    """
+    shared = _broadcast(df.sparkSession, path)
+
+    @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
+    def digested(texts: pd.Series) -> pd.DataFrame:
+        vocabulary, rows = _vocabulary(shared.value), []
+        for text in texts:
+            ids = vocabulary.encode(text)
+            decoded = vocabulary.decode(ids).encode("utf-8", "surrogatepass")
+            rows.append((len(ids) // 4, sha256(ids).hexdigest(), sha256(decoded).hexdigest()))
+        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    (place,) = fresh(df, "digests")
+    found = df.withColumn(place, digested(text_of(text_col)))
+    return found.withColumns({x: F.col(f"{place}.{x}") for x in ("n_tokens", "ids_sha256", "decoded_sha256")}).drop(place)
