@@ -108,3 +108,13 @@ def test_variants_and_resampling(frames):
 def test_differences_replace_their_columns(frames):
     got = difference_features(frames[0], {"elo_diff": ("home_elo", "away_elo")})
     assert "home_elo" not in got.columns and "elo_diff" in got.columns
+
+
+def test_residual_gaps_and_missing_seasons(spark, frames):
+    train, valid, _ = frames
+    gaps = [df.withColumns({"capacity": F.lit(None).cast("double"), "flag": F.when(F.col("row_id") % 7 != 0, F.col("flag")),
+                            "noise": F.when(F.col("row_id") % 5 != 0, F.col("noise"))}) for df in (train, valid)]
+    done = training.train_and_score(training.logistic(train.count()), *gaps, [*FEATURES, "capacity"], "standard")
+    assert done.valid_accuracy > majority(valid) + 0.2
+    rows = spark.createDataFrame([(2000,), (2002,), (2003,), (None,)], "season_year int")
+    assert [df.count() for df in training.split_by_season(rows, 2001, 2002)] == [1, 1, 2]

@@ -16,6 +16,17 @@ LAST_TRAIN, LAST_VALID = 1999, 2000
 SCALED = [name for name in FEATURES if not name.startswith("missing")]
 
 
+def _variants():
+    """Variant -> (rows that are learned from, features left out)."""
+    has_elo, has_cards = ~F.col("missing_elo"), ~F.col("missing_cards")
+    return {
+        "all": (None, []),
+        "rated": (has_elo, ["missing_elo"]),
+        "rated, carded": (has_elo & has_cards, ["missing_elo", "missing_cards"]),
+        "carded": (has_cards, ["missing_cards"]),
+    }
+
+
 def _splits(spark, sf_dir):
     return training.split_by_season(feature_table(spark, sf_dir), LAST_TRAIN, LAST_VALID)
 
@@ -153,14 +164,7 @@ def permutation_importance(spark, sf_dir):
 
 def subset_variants(spark, sf_dir):
     train, valid, _ = _splits(spark, sf_dir)
-    has_elo, has_cards = ~F.col("missing_elo"), ~F.col("missing_cards")
-    variants = {
-        "all": (None, []),
-        "rated": (has_elo, ["missing_elo"]),
-        "rated, carded": (has_elo & has_cards, ["missing_elo", "missing_cards"]),
-        "carded": (has_cards, ["missing_cards"]),
-    }
-    return search.subset_variants(training.random_forest(3, 4), train, valid, variants)
+    return search.subset_variants(training.random_forest(3, 4), train, valid, _variants())
 
 
 def resample_classes(spark, sf_dir):
@@ -193,7 +197,73 @@ def scored_slices(spark, sf_dir):
     return training.accuracy(score_saved_model(spark, sf_dir), ["season_year", "league"])
 
 
+def fitted_frequencies(spark, sf_dir):
+    """A hardly regularised fit on one column per league gives each league's frequencies of the classes."""
+    leagues = [f"league_{i}" for i in range(5)]
+    train, valid, _ = training.split_by_season(contest_table(spark, sf_dir).select(*ROW_KEY, "league", "result"), LAST_TRAIN, LAST_VALID)
+    train, valid = (df.withColumns({name: (F.col("league") == i).cast("double") for i, name in enumerate(leagues)}) for df in (train, valid))
+    model = training.logistic(train.count(), c=1e6, max_iter=300).setTol(1e-9)
+    fitted = training.train_and_score(model, train, valid, leagues).model
+    share = vector_to_array("probability")
+    scored = fitted.transform(training.with_label(valid)).select("league", *[share[i].alias(n) for i, n in enumerate(training.CLASSES)])
+    return scored.groupBy("league").agg(*[F.round(F.max(name), 3).alias(name) for name in training.CLASSES])
+
+
+def majority_tree(spark, sf_dir):
+    """A tree of depth 1 on one binary column predicts the majority of each side."""
+    columns = contest_table(spark, sf_dir).select(*ROW_KEY, "result", (F.col("match_round") > 6).cast("double").alias("late"))
+    train, valid, _ = training.split_by_season(columns, LAST_TRAIN, LAST_VALID)
+    tree = training.random_forest(1, 1).setBootstrap(False).setFeatureSubsetStrategy("all").setMinInfoGain(0.0)
+    fitted = training.train_and_score(tree, train, valid, ["late"]).model
+    return training.with_prediction(fitted, valid).select(*ROW_KEY, "prediction")
+
+
+def grid_candidates(spark, sf_dir):
+    """The 7 x 7 candidates of a grid search, how many of them are best, and whether that one has the highest accuracy."""
+    train, valid, _ = _splits(spark, sf_dir)
+    values = {"maxDepth": range(1, 8), "minInstancesPerNode": range(1, 14, 2)}
+    with search.prepared(train, valid, ["home_form", "away_form"]) as frames:
+        report = search.grid_search(training.random_forest(1), values, *frames)
+        found = spark.createDataFrame(report.collect(), report.schema)
+    top = found.agg(F.max("valid_accuracy").alias("top"), F.sum(F.col("best").cast("long")).alias("bests"))
+    best = found.filter("best").select(F.col("valid_accuracy").alias("of_best"))
+    return found.select("params").join(top).join(best).select("params", "bests", (F.col("top") == F.col("of_best")).alias("highest"))
+
+
+def early_season_rows(spark, sf_dir):
+    """Rows that are learned from when seasons up to each threshold are left out."""
+    train, valid, _ = _splits(spark, sf_dir)
+    with search.prepared(train, valid, ["home_form"], keep=["season_year"]) as frames:
+        seasons = range(1990, LAST_TRAIN)
+        return search.leave_early_seasons_out(training.random_forest(1, 1), *frames, seasons=seasons).select("season_year", "rows")
+
+
+def variant_rows(spark, sf_dir):
+    """Features and rows that each variant is learned from."""
+    train, valid, _ = _splits(spark, sf_dir)
+    return search.subset_variants(training.random_forest(1, 1), train, valid, _variants()).select("variant", "features", "rows")
+
+
+def saved_model_agreement(spark, sf_dir):
+    """Rows per slice, and on how many of them a saved and loaded model and the model itself disagree."""
+    train, valid, test = _splits(spark, sf_dir)
+    done = training.train_and_score(training.random_forest(5, 5), train, valid)
+    path = new_path(spark, "model")
+    training.save_model(done.model, path)
+    own = training.with_prediction(done.model, test).select(*ROW_KEY, "league", F.col("prediction").alias("own"))
+    loaded = training.with_prediction(training.load_model(path), test).select(*ROW_KEY, "prediction")
+    both = own.join(loaded, ROW_KEY)
+    return both.groupBy("season_year", "league").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("own") != F.col("prediction")).alias("disagree"))
+
+
 QUERIES = {
+    "fitted_frequencies": fitted_frequencies,
+    "majority_tree": majority_tree,
+    "grid_candidates": grid_candidates,
+    "early_season_rows": early_season_rows,
+    "variant_rows": variant_rows,
+    "saved_model_agreement": saved_model_agreement,
     "season_split": season_split,
     "difference_features": difference_frame,
     "standard_scaled": standard_scaled,
@@ -244,7 +314,25 @@ def _difference(name, home, away):
     return f"round({value}, 4) AS {name}" if name in ("elo_diff", "discipline_diff") else f"{value} AS {name}"
 
 
+_TRAIN = f"FROM featured WHERE season_year <= {LAST_TRAIN}"
+
 ORACLE = {
+    "fitted_frequencies": f"""WITH {CONTESTS} SELECT league, {
+        ", ".join(f"round(avg(CASE WHEN result = '{name}' THEN 1.0 ELSE 0.0 END), 3) AS {name}" for name in training.CLASSES)
+    } FROM contests WHERE season_year <= {LAST_TRAIN} GROUP BY league""",
+    "majority_tree": f"""WITH {CONTESTS}, most AS (SELECT match_round > 6 AS late, mode(result) AS prediction FROM contests
+        WHERE season_year <= {LAST_TRAIN} GROUP BY late)
+        SELECT {KEY}, prediction FROM contests JOIN most ON late = (match_round > 6) WHERE season_year = {LAST_VALID}""",
+    "grid_candidates": """SELECT 'maxDepth=' || d || ', minInstancesPerNode=' || m AS params, CAST(1 AS BIGINT) AS bests,
+        true AS highest FROM range(1, 8) a(d), range(1, 14, 2) b(m)""",
+    "early_season_rows": f"""{FEATURED} SELECT CAST(s AS INTEGER) AS season_year, count(*) AS "rows"
+        FROM range(1990, {LAST_TRAIN}) t(s) JOIN featured ON season_year > s AND season_year <= {LAST_TRAIN} GROUP BY s""",
+    "variant_rows": f"""{FEATURED} SELECT 'all' AS variant, {len(FEATURES)}::INTEGER AS features, count(*) AS "rows" {_TRAIN}
+        UNION ALL SELECT 'rated', {len(FEATURES) - 1}, count(*) {_TRAIN} AND NOT missing_elo
+        UNION ALL SELECT 'rated, carded', {len(FEATURES) - 2}, count(*) {_TRAIN} AND NOT missing_elo AND NOT missing_cards
+        UNION ALL SELECT 'carded', {len(FEATURES) - 1}, count(*) {_TRAIN} AND NOT missing_cards""",
+    "saved_model_agreement": f"""WITH {CONTESTS} SELECT season_year, league, count(*) AS "rows", CAST(0 AS BIGINT) AS disagree
+        FROM contests WHERE season_year > {LAST_VALID} GROUP BY ALL""",
     "season_split": f"""WITH {CONTESTS} SELECT {KEY}, CASE WHEN season_year <= {LAST_TRAIN} THEN 'train'
         WHEN season_year <= {LAST_VALID} THEN 'valid' ELSE 'test' END AS part FROM contests""",
     "difference_features": f"""{FEATURED} SELECT {KEY}, capacity, {

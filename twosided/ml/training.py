@@ -50,16 +50,18 @@ def with_label(df: DataFrame, target: str = "result", classes: Sequence[str] = C
 
 
 def preparation(
-    features: Sequence[str] = FEATURES, scaler: str | None = None, gaps: Sequence[str] = FEATURES, empty: Sequence[str] = ()
+    features: Sequence[str] = FEATURES, scaler: str | None = None, gaps: Sequence[str] | None = None, empty: Sequence[str] = ()
 ) -> Pipeline:
     """Feature columns to the ``features`` vector: gaps filled with training means, optionally scaled.
 
+    ``gaps`` names the features that may have gaps, all by default.
+
     ``scaler`` is ``'standard'``, ``'minmax'`` or None. Ratings, which are never filled backward, and a measure that a whole
     block lacks may still be missing after cleaning; trees and regressions need a number there. ``empty`` names
     features that are missing in all training rows (see :func:`empty_features`); they are 0, for want of a mean.
     """
     stages: list = []
-    known = [name for name in gaps if name in features and name not in empty]
+    known = [name for name in (features if gaps is None else gaps) if name in features and name not in empty]
     casts = [f"CAST({name} AS DOUBLE) AS {name}_number" for name in known]
     zeros = [f"coalesce(CAST({name} AS DOUBLE), 0D) AS {name}_known" for name in empty if name in features]
     stages.append(SQLTransformer(statement=f"SELECT {', '.join(['*', *casts, *zeros])} FROM __THIS__"))
