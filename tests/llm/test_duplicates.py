@@ -173,6 +173,19 @@ def test_crowded_keys_lose_no_link(spark, monkeypatch):
     assert found == brute.removed_lines(dict(rows))
 
 
+def test_lines_mostly_of_one_passage_lose_no_link(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9)))
+    passage, rows = " ".join(word() for _ in range(60)), []
+    for i in range(120):
+        own = [word() for _ in range(11)]
+        rows += [(i, f"{passage} {' '.join(own)}"), (1000 + i, f"{passage} {' '.join(own[:-1])} {word()}")]
+    wanted = brute.removed_lines(dict(rows))
+    assert 120 <= sum(map(len, wanted.values())) < 125
+    found = {r.id: r.removed for r in line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    assert found == wanted
+
+
 def test_line_dedup_of_documents(spark, small):
     found = {r.doc_id: r.removed for r in QUERIES["op10_line_dedup"](spark, SF_DIR).collect()}
     wanted = brute.removed_lines(small[1])
