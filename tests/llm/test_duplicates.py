@@ -186,6 +186,26 @@ def test_lines_mostly_of_one_passage_lose_no_link(spark):
     assert found == wanted
 
 
+def test_lines_without_spaces_are_signed_by_content(spark):
+    rng, rows = random.Random(10), []
+    for letters in ("".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz0123456789/", "абвгд\t\u00a0"):
+        for _ in range(30):
+            line = "".join(rng.choices(letters, k=200))
+            at = rng.randrange(70)
+            rows += [(line, f"x{line}"), (line, f"{line[:at]}x{line[at:]}"), (line, line[:at] + line[at + 1 :])]
+    signed = lambda name: F.array_distinct(F.regexp_extract_all(name, F.lit(line_dedup._SIGNED), F.lit(1)))
+    df = spark.createDataFrame(rows, "a string, b string").select(signed("a").alias("x"), signed("b").alias("y"))
+    for row in df.collect():
+        x, y = set(row.x), set(row.y)
+        assert len(x) > 100 and len(x & y) >= 0.8 * len(x | y)
+
+
+def test_words_are_signed_at_their_starts(spark):
+    text = "  one two  thirteenchars x"
+    df = spark.createDataFrame([(text,)], "a string").select(F.regexp_extract_all("a", F.lit(line_dedup._SIGNED), F.lit(1)).alias("x"))
+    assert df.first().x == ["one two  thi", "two  thirtee", "thirteenchar", "x"]
+
+
 def test_line_dedup_of_documents(spark, small):
     found = {r.doc_id: r.removed for r in QUERIES["op10_line_dedup"](spark, SF_DIR).collect()}
     wanted = brute.removed_lines(small[1])
