@@ -188,6 +188,19 @@ def test_pairs_of_terms_are_learned():
     assert machine.score(hasher.places("insulting filler1")) < 0.5 < machine.score(hasher.places("insulting grouping filler1"))
 
 
+def test_pairs_of_terms_near_the_base_rate_are_learned():
+    rng, texts, labels, hasher = random.Random(4), [], [], toxicity.Hasher()
+    for i in range(6000):  # 200 texts with one term, 2,000 with the other, 20 with both; these and 5 % of the rest are toxic
+        insult, group = i < 200, i < 20 or 200 <= i < 2180
+        words = [f"filler{chr(97 + rng.randint(0, 25))}{chr(97 + rng.randint(0, 25))}" for _ in range(8)] + ["insulting"] * insult + ["grouping"] * group
+        texts.append(hasher.places(" ".join(words)))
+        labels.append(int(i < 20 or not insult and rng.random() < 0.05))
+    machine = toxicity.fit(texts, np.array(labels))
+    assert machine.score(hasher.places("insulting grouping fillerab")) >= 0.5
+    assert max(machine.score(hasher.places(x)) for x in ("insulting fillerab", "grouping fillerab", "fillerab")) < 0.5
+    assert sum(machine.score(x) >= 0.5 for x in texts[:20]) >= 18 and sum(machine.score(x) >= 0.5 for x in texts[20:]) < 60
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(4, 1, 0), (4, 0, 1), (None, 1, 1), (5, 1, None), (8, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
     machine = toxicity.train(odd, labels, "doc_id", "text", "toxic", held_out=-1)

@@ -26,9 +26,9 @@ from twosided.llm.common import col, fold, table, text_of
 MAX_TRAIN_ROWS = 20_000
 #: Places of the hash table (so the broadcast model has at most PLACES * (FACTORS + 1) numbers) and length of a pair vector.
 PLACES, FACTORS = 1 << 18, 4
-#: A place counts if so many of the texts that are learned from have it, and if the number of toxic ones among them is so
-#: many standard deviations away from what the share of toxic texts leads to expect.
-MIN_TEXTS, MIN_DEVIATIONS = 4, 4.0
+#: A place counts if so many of the texts that are learned from have it, however toxic these are: a pair may tell what neither
+#: of its places does.
+MIN_TEXTS = 4
 #: Lengths of word beginnings that are terms of their own.
 BEGINNINGS = (3, 4)
 EPOCHS, BATCH, RATE, SHRINK = 10, 64, 0.1, 1e-4
@@ -72,10 +72,17 @@ class Machine:
 
     def score(self, places: np.ndarray) -> float:
         """The probability of label 1 for the places of a text; none that was learned gives the bias alone."""
-        rows = self.rows[np.flatnonzero(np.isin(self.places, places))]
+        rows = self.rows[_found(self.places, places)]
         return 1 / (1 + math.exp(-_margin(self.bias, rows)[0]))
 
 
+def _found(known: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Where in ``known`` the places are that it holds; both ascend."""
+    at = np.searchsorted(known, places)
+    at, places = at[at < len(known)], places[at < len(known)]
+    return at[known[at] == places]
+
+
 def _margin(bias: float, rows: np.ndarray) -> tuple[float, np.ndarray]:
     """The margin of a text from the rows of its places, and the sum of their vectors."""
     vectors = rows[:, 1:]
@@ -94,10 +101,8 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     if not len(labels) or labels.min() == labels.max():
         return Machine(bias, np.empty(0, np.int32), np.empty((0, FACTORS + 1)))
     seen = np.bincount(np.concatenate(texts), minlength=PLACES)
-    toxic = np.bincount(np.concatenate([x for x, label in zip(texts, labels, strict=True) if label]), minlength=PLACES)
-    away = np.abs(toxic - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
-    learned = np.flatnonzero((seen >= MIN_TEXTS) & (away >= MIN_DEVIATIONS)).astype(np.int32)
-    texts = [np.flatnonzero(np.isin(learned, x)) for x in texts]
+    learned = np.flatnonzero(seen >= MIN_TEXTS).astype(np.int32)
+    texts = [_found(learned, x) for x in texts]
     rows = np.zeros((len(learned), FACTORS + 1))
     rows[:, 1:] = rng.normal(0, 0.01, (len(learned), FACTORS))
     squares, bias_square = np.full(rows.shape, 1e-2), 1e-2
