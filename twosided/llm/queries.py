@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twosided.llm import bpe, chat_format, license_scan, line_dedup, lm_score, simhash, spotsigs, tiling, toxicity, warc
+from twosided.llm import bpe, chat_format, license_scan, line_dedup, lm_score, sharding, simhash, spotsigs, tiling, toxicity, warc
 from twosided.llm.common import fold, table
 
 
@@ -78,6 +78,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in forty contiguous shards of nearly equal bytes; equal texts lie side by side."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = sharding.assign(docs, "doc_id", "text", 40, keep_text=False)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_lm_score": op2_lm_score,
@@ -89,6 +96,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_sharding": op11_sharding,
 }
 
 OP1_SQL = r"""
@@ -147,4 +155,25 @@ lines AS (
 )
 SELECT doc_id, line_no::INTEGER AS line_no, license, round(dice, 9) AS dice FROM matched WHERE dice >= 0.8
 """
-ORACLE: dict[str, str] = {"op1_chat_format": OP1_SQL, "op7_warc": OP7_SQL, "op9_license_scan": OP9_SQL}
+# DuckDB has no crc32, so its table of 256 entries is made by its rule and the bytes are folded one after another.
+OP11_SQL = """
+WITH RECURSIVE crc(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM crc WHERE k < 8
+), crc_table AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8),
+sized AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, ''))::BIGINT + 16 AS size, md5(coalesce(text, '')) AS g,
+    substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2) AS s FROM documents
+), placed AS (
+  SELECT *, row_number() OVER o - 1 AS number, sum(size) OVER o - size AS b, sum(size) OVER () AS total,
+    sum(size) OVER (PARTITION BY g) AS of_text FROM sized WINDOW o AS (ORDER BY g, s, doc_id ROWS UNBOUNDED PRECEDING)
+), cut AS (
+  SELECT *, ((CASE WHEN of_text * 320 <= total THEN 2 * min(b) OVER (PARTITION BY g) + of_text ELSE 2 * b + size END)::HUGEINT
+    * 40 // (2 * total))::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT),
+    lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)::BIGINT AS text_crc32,
+  'bytes' AS law, shard, (number - min(number) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM cut, crc_table
+"""
+ORACLE: dict[str, str] = {"op1_chat_format": OP1_SQL, "op7_warc": OP7_SQL, "op9_license_scan": OP9_SQL, "op11_sharding": OP11_SQL}
