@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twosided.llm import bpe, chat_format, license_scan, line_dedup, lm_score, sharding, simhash, spotsigs, tiling, toxicity, warc
+from twosided.llm import bpe, chat_format, license_scan, line_dedup, lm_score, periodic_runs, sharding, simhash, spotsigs, tiling, toxicity, warc
 from twosided.llm.common import fold, table
 
 
@@ -85,6 +85,18 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document, a tenth of which have a period planted by the checksum of their id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = docs.select("doc_id", periodic_runs.with_planted_period("text", "doc_id").alias("text"))
+    found = periodic_runs.find_runs(planted, "text")
+    best, lines = F.col("found.strongest"), F.transform("found.runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("found.runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * found.strongest.length div found.strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2(F.col("found.collapsed"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_lm_score": op2_lm_score,
@@ -97,6 +109,7 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_sharding": op11_sharding,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 OP1_SQL = r"""
