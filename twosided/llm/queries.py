@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twosided.llm import bpe, chat_format, license_scan, line_dedup, lm_score, periodic_runs, sharding, simhash, spotsigs, tiling, toxicity, warc
+from twosided.llm import bpe, chat_format, lexical_search, license_scan, line_dedup, lm_score, periodic_runs, sharding, simhash, spotsigs, tiling, toxicity, warc
 from twosided.llm.common import fold, table
 
 
@@ -85,6 +85,12 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for each benchmark item."""
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text")
+    return found.withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of words of every document, a tenth of which have a period planted by the checksum of their id."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -109,6 +115,7 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_sharding": op11_sharding,
+    "op12_lexical_search": op12_lexical_search,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -189,4 +196,25 @@ SELECT doc_id, size, xor(list_reduce(list_transform(regexp_extract_all(hex(encod
   'bytes' AS law, shard, (number - min(number) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM cut, crc_table
 """
-ORACLE: dict[str, str] = {"op1_chat_format": OP1_SQL, "op7_warc": OP7_SQL, "op9_license_scan": OP9_SQL, "op11_sharding": OP11_SQL}
+OP12_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), size AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM doc WHERE len(terms) > 0),
+posting AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM doc) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posting, size GROUP BY term
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+), damped AS (SELECT d, doc_id, 25 + (75 * len(terms) * n_docs) // n_terms AS m FROM doc, size),
+scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN posting USING (term) JOIN weight USING (term) JOIN damped USING (d) GROUP BY item_id, d, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+ORACLE: dict[str, str] = {"op1_chat_format": OP1_SQL, "op7_warc": OP7_SQL, "op9_license_scan": OP9_SQL, "op11_sharding": OP11_SQL,
+                          "op12_lexical_search": OP12_SQL}
