@@ -1,17 +1,19 @@
 """Toxicity by a factorization machine over hashed terms.
 
-The terms of a text are its distinct lower-cased words and, for words of another form of the same stem, their
-beginnings. Terms are hashed into a fixed number of places. The machine gives a weight to each place and, through a short
-vector for each place, to every pair of places, so that an insult beside the mention of a group can count for more than the sum
-of both. It is trained in numpy on a bounded sample of labelled rows; scoring runs in Arrow batches where the rows are.
+The terms of a text are its distinct lower-cased words and their beginnings, the latter once for each of the first few words
+that share one, as several forms of a stem tell more than one. Terms are hashed into a fixed number of places, and
+a text's places count less the more it has, so that long texts are not told by their length. The machine gives a weight to each place and, through
+a short vector for each place, to every pair of places, so that an insult beside the mention of a group can count for more
+than the sum of both. It is trained in numpy on a bounded sample of labelled rows; scoring runs in Arrow batches where the rows are.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain
 
 import numpy as np
@@ -29,27 +31,41 @@ PLACES, FACTORS = 1 << 18, 4
 #: A place counts if so many of the texts that are learned from have it, however toxic these are: a pair may tell what neither
 #: of its places does.
 MIN_TEXTS = 4
-#: Lengths of word beginnings that are terms of their own.
-BEGINNINGS = (3, 4)
-EPOCHS, BATCH, RATE, SHRINK = 10, 64, 0.1, 1e-4
+#: Length of the word beginnings that are terms of their own, and up to how many words of a beginning make a term each.
+BEGINNING, FORMS = 4, 3
+#: Rounds, texts of a batch, step, and the shrinkage of weights and of pair vectors.
+EPOCHS, BATCH, RATE, SHRINK, SHRINK_PAIRS = 20, 64, 0.3, 3e-4, 1e-3
+#: Spread of the first pair vectors, and first sums of squared changes.
+INIT, SQUARES = 0.05, 1e-2
+#: Places of a text up to which they count almost fully.
+SHORT = 20
+#: One text in so many fits the curve from margins to probabilities, whose slope is drawn towards 1 by a slight penalty.
+CALIBRATING, CALIBRATION_SHRINK = 3, 0.1
 _CACHED_STRINGS, _CACHED_CHARS = 300_000, 48
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
 
 
+def _form(beginning: int, number: int) -> int:
+    """The place of the so-manieth word of a beginning, given by its hash."""
+    return (beginning * 31 + number * 0x9E3779B1) % 0xFFFFFFFB % PLACES
+
+
 class Hasher:
     """Places of the terms of texts; strings between white space are looked up in a bounded cache."""
 
     def __init__(self, wanted: set[int] | None = None):
         self.wanted, self.known = wanted, {}
 
-    def _string(self, string: str) -> tuple[int, ...]:
+    def _string(self, string: str) -> tuple[tuple[int, int], ...]:
+        """The hash of each word of a string and that of its beginning, or -1; words of which no place is wanted are left out."""
         found = self.known.get(string)
         if found is None:
-            terms = {term for word in _WORD.findall(string)
-                     for term in (word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) > n))}
-            found = tuple({zlib.crc32(term.encode("utf-8", "surrogatepass")) % PLACES for term in terms})
+            pairs = {(zlib.crc32(w.encode("utf-8", "surrogatepass")),
+                      zlib.crc32(f"{w[:BEGINNING]}*".encode("utf-8", "surrogatepass")) if len(w) > BEGINNING else -1) for w in _WORD.findall(string)}
             if self.wanted is not None:
-                found = tuple(self.wanted.intersection(found))
+                pairs = {(w, b) for w, b in pairs if w % PLACES in self.wanted or b >= 0 and any(
+                    _form(b, n) in self.wanted for n in range(1, FORMS + 1))}
+            found = tuple(pairs)
             if len(string) <= _CACHED_CHARS:
                 if len(self.known) >= _CACHED_STRINGS:
                     self.known.clear()
@@ -58,22 +74,44 @@ class Hasher:
 
     def places(self, text: str | None) -> np.ndarray:
         """The places of a text, each once, in ascending order; no words, no places."""
-        strings = set((text or "").lower().split())
-        return np.array(sorted(set(chain.from_iterable(map(self._string, strings)))), np.int32)
+        words = set(chain.from_iterable(map(self._string, set((text or "").lower().split()))))
+        found = {w % PLACES for w, _ in words}
+        for beginning, forms in Counter(b for _, b in words if b >= 0).items():
+            found.update(_form(beginning, n) for n in range(1, min(forms, FORMS) + 1))
+        if self.wanted is not None:
+            found &= self.wanted
+        return np.array(sorted(found), np.int32)
 
 
 @dataclass(frozen=True)
 class Machine:
-    """The bias, and for each place that was learned its weight and its pair vector; others count nothing."""
+    """The bias, and for each place that was learned its weight and its pair vector; others count nothing.
+
+    ``slope`` and ``offset`` turn margins into log odds.
+    """
 
     bias: float
     places: np.ndarray
     rows: np.ndarray
+    slope: float = 1.0
+    offset: float = 0.0
+
+    def margin(self, places: np.ndarray) -> float:
+        """The bias, the weights of the places of a text and the products of all pairs of their vectors."""
+        rows = self.rows[_found(self.places, places)]
+        rows = rows * _scale(len(rows))
+        vectors = rows[:, 1:]
+        pairs = 0.5 * ((vectors.sum(axis=0) ** 2).sum() - (vectors**2).sum())
+        return float(np.clip(self.bias + rows[:, 0].sum() + pairs, -30, 30))
 
     def score(self, places: np.ndarray) -> float:
         """The probability of label 1 for the places of a text; none that was learned gives the bias alone."""
-        rows = self.rows[_found(self.places, places)]
-        return 1 / (1 + math.exp(-_margin(self.bias, rows)[0]))
+        return 1 / (1 + math.exp(-self.slope * self.margin(places) - self.offset))
+
+
+def _scale(sizes):
+    """What each place of a text of so many places counts."""
+    return (1 + sizes / SHORT) ** -0.5
 
 
 def _found(known: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -83,20 +121,54 @@ def _found(known: np.ndarray, places: np.ndarray) -> np.ndarray:
     return at[known[at] == places]
 
 
-def _margin(bias: float, rows: np.ndarray) -> tuple[float, np.ndarray]:
-    """The margin of a text from the rows of its places, and the sum of their vectors."""
-    vectors = rows[:, 1:]
-    total = vectors.sum(axis=0)
-    pairs = 0.5 * ((total**2).sum() - (vectors**2).sum())
-    return float(np.clip(bias + rows[:, 0].sum() + pairs, -30, 30)), total
+def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
+    """A machine whose margins are turned into probabilities by texts that a machine of its kind was not trained on.
 
+    The machine knows the texts that it is trained on better than others, so its own margins there are too sure. One part in
+    ``CALIBRATING`` of the texts is left out of a first training, and slope and offset are fitted to its margins and labels. The
+    machine itself is trained on all texts.
+    """
+    machine = _trained(texts, labels, np.random.default_rng(seed))
+    if not len(machine.places):
+        return machine
+    order = np.random.default_rng(seed).permutation(len(texts))
+    apart, rest = order[::CALIBRATING], np.setdiff1d(order, order[::CALIBRATING])
+    first = _trained([texts[i] for i in rest], labels[rest], np.random.default_rng(seed))
+    slope, offset = _calibrated(np.array([first.margin(texts[i]) for i in apart]), labels[apart])
+    return replace(machine, slope=slope, offset=offset)
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
+
+def _calibrated(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through the margins, by Newton steps; a slight penalty keeps it from a slope without end.
+
+    The slope is at least 1: labels that no text explains would flatten the curve and hide pairs that do tell.
+    """
+    x = np.stack([margins, np.ones(len(margins))], axis=1)
+
+    def best(at: np.ndarray, free: list[int]) -> np.ndarray:
+        for _ in range(100):
+            share = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+            change = x.T @ (share - labels) + CALIBRATION_SHRINK * (at - [1, 0])
+            curve = (x * (share * (1 - share))[:, None]).T @ x + CALIBRATION_SHRINK * np.eye(2)
+            step = np.linalg.solve(curve[np.ix_(free, free)], change[free])
+            at = at.copy()
+            at[free] -= step * min(1.0, 2 / max(np.abs(step).max(), 1e-12))
+            if np.abs(step).max() < 1e-9:
+                break
+        return at
+
+    found = best(np.array([1.0, 0.0]), [0, 1])
+    if found[0] < 1:
+        found = best(np.array([1.0, 0.0]), [1])
+    return float(found[0]), float(found[1])
+
+
+def _trained(texts: list[np.ndarray], labels: np.ndarray, rng: np.random.Generator) -> Machine:
     """A machine by Adagrad on the log loss, in batches, with weights shrunk towards zero.
 
     With no text, or labels of one kind only, the machine is the smoothed share of label 1 and has no weights.
     """
-    rng, share = np.random.default_rng(seed), (labels.sum() + 0.5) / (len(labels) + 1)
+    share = (labels.sum() + 0.5) / (len(labels) + 1)
     bias = math.log(share / (1 - share))
     if not len(labels) or labels.min() == labels.max():
         return Machine(bias, np.empty(0, np.int32), np.empty((0, FACTORS + 1)))
@@ -104,25 +176,29 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     learned = np.flatnonzero(seen >= MIN_TEXTS).astype(np.int32)
     texts = [_found(learned, x) for x in texts]
     rows = np.zeros((len(learned), FACTORS + 1))
-    rows[:, 1:] = rng.normal(0, 0.01, (len(learned), FACTORS))
-    squares, bias_square = np.full(rows.shape, 1e-2), 1e-2
+    rows[:, 1:] = rng.normal(0, INIT, (len(learned), FACTORS))
+    squares, bias_square = np.full(rows.shape, SQUARES), SQUARES
+    shrink = np.array([SHRINK, *[SHRINK_PAIRS] * FACTORS])
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
         for start in range(0, len(order), BATCH):
             chosen = order[start : start + BATCH]
-            change, bias_change = np.zeros_like(rows), 0.0
-            for i in chosen:
-                margin, total = _margin(bias, rows[texts[i]])
-                slope = (1 / (1 + math.exp(-margin)) - labels[i]) / len(chosen)
-                change[texts[i], 0] += slope
-                change[texts[i], 1:] += slope * (total - rows[texts[i], 1:])
-                bias_change += slope
-            change += SHRINK * rows
+            sizes = np.array([len(texts[i]) for i in chosen])
+            at, text = np.concatenate([texts[i] for i in chosen]), np.repeat(np.arange(len(chosen)), sizes)
+            scale = _scale(sizes)[text]
+            scaled = rows[at] * scale[:, None]
+            sums = np.stack([np.bincount(text, part, len(chosen)) for part in scaled.T], axis=1)
+            square = np.bincount(text, (scaled[:, 1:] ** 2).sum(axis=1), len(chosen))
+            margin = np.clip(bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(axis=1) - square), -30, 30)
+            slope = (1 / (1 + np.exp(-margin)) - labels[chosen]) / len(chosen)
+            each = slope[text] * scale
+            change = np.stack([np.bincount(at, part, len(rows)) for part in (
+                each, *(each * (sums[text, k] - scaled[:, k]) for k in range(1, FACTORS + 1)))], axis=1) + shrink * rows
             squares += change**2
             rows -= RATE * change / np.sqrt(squares)
-            bias_square += bias_change**2
-            bias -= RATE * bias_change / bias_square**0.5
-    return Machine(bias, learned, rows)
+            bias_square += slope.sum() ** 2
+            bias -= RATE * slope.sum() / bias_square**0.5
+    return Machine(float(bias), learned, rows)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
