@@ -7,7 +7,7 @@ from twosided.catalog.contest_sql import CONTESTS, participants
 from twosided.catalog.feature_queries import CONTEST_FEATURES
 from twosided.catalog.impute_queries import CLEANED
 from twosided.catalog.parse_queries import KEY
-from twosided.ml import search, training
+from twosided.ml import boosting, refits, search, training
 from twosided.operators.features import DIFFERENCES, FEATURES, difference_features
 from twosided.plans.contest_view import ROW_KEY, contest_table, feature_table
 from twosided.session import new_path
@@ -122,9 +122,40 @@ def forest_importances(spark, sf_dir):
 
 
 def boosted_importances(spark, sf_dir):
+    """How often each feature splits a node of boosted trees, and the gain of its splits.
+
+    Leaves, step and bins are the usual defaults of such trainers (31 leaves, 0.1, 255 bins). Two rounds instead of 100: every round is
+    six or more passes, which are minutes on a small machine; ``boosting.boost`` takes 100 by default.
+    """
+    train, _, _ = _splits(spark, sf_dir)
+    return boosting.importances(boosting.boost(train, rounds=2), spark).drop("fit")
+
+
+def boosted_stumps(spark, sf_dir):
+    """The first round of boosted trees of two leaves: each class's split, its gain, and the rows and values of both sides.
+
+    Features are rounded to four places, for running sums of cards end in other digits wherever they are added in another order.
+    """
+    train, _, _ = _splits(spark, sf_dir)
+    train = train.withColumns({name: F.round(F.col(name).cast("double"), 4) for name in FEATURES if name != "season_year"})
+    nodes = boosting.boost(train, [boosting.Spec(leaves=2)], 1).node_table(spark)
+    sides = [F.max(F.when(F.col("node") == node, F.round(F.col(c), 9) if c == "value" else F.col(c))).alias(f"{side}_{c}")
+             for node, side in ((1, "left"), (2, "right")) for c in ("rows", "value")]
+    return nodes.groupBy("class").agg(F.max("feature").alias("feature"), F.max("threshold").alias("threshold"), F.round(F.max("gain"), 6).alias("gain"), *sides)
+
+
+def boosted_grid(spark, sf_dir):
+    """All 7 x 7 pairs of leaves and depth, grown together. One round instead of 100, for the same reason as above."""
     train, valid, _ = _splits(spark, sf_dir)
-    done = training.train_and_score(training.boosted_trees(2, 3), train, valid)
-    return training.importances(done.model.stages[-1])
+    return refits.grid(train, valid, rounds=1)
+
+
+def boosted_grid_candidates(spark, sf_dir):
+    """The pairs of :func:`boosted_grid`, how many are best, and whether the best has the highest accuracy."""
+    found = boosted_grid(spark, sf_dir)
+    top = found.agg(F.max("valid_accuracy").alias("top"), F.count_if("best").alias("bests"))
+    best = found.filter("best").select(F.col("valid_accuracy").alias("of_best"))
+    return found.select("leaves", "depth").join(top).join(best).select("leaves", "depth", "bests", (F.col("top") == F.col("of_best")).alias("highest"))
 
 
 def grid_search(spark, sf_dir):
@@ -142,16 +173,23 @@ def random_search(spark, sf_dir):
 
 
 def lofo(spark, sf_dir):
+    """Accuracy lost without each feature, by boosted trees grown together. One round instead of 100: see :func:`boosted_importances`."""
     train, valid, _ = _splits(spark, sf_dir)
-    with search.prepared(train, valid) as frames:
-        return search.leave_one_feature_out(training.random_forest(3, 4), *frames)
+    return refits.without_each_feature(train, valid, rounds=1)
 
 
 def early_seasons_out(spark, sf_dir):
+    """Accuracy lost without the seasons up to each threshold, by boosted trees grown together, without ``home_form`` as in the study.
+
+    All thresholds of these tables (1990 to the last season of training). One round instead of 100: see :func:`boosted_importances`.
+    """
     train, valid, _ = _splits(spark, sf_dir)
-    features = [name for name in FEATURES if name != "home_form"]
-    with search.prepared(train, valid, features, keep=["season_year"]) as frames:
-        return search.leave_early_seasons_out(training.random_forest(3, 4), *frames, seasons=[1995, 1996, 1997])
+    return refits.without_early_seasons(train, valid, range(1990, LAST_TRAIN), rounds=1, base=boosting.Spec(without=("home_form",)))
+
+
+def early_seasons_left(spark, sf_dir):
+    """The rows that the fits of :func:`early_seasons_out` are trained on, as their trees count them."""
+    return early_seasons_out(spark, sf_dir).select("season_year", "rows")
 
 
 def permutation_importance(spark, sf_dir):
@@ -277,6 +315,10 @@ QUERIES = {
     "confusion": confusion,
     "forest_importances": forest_importances,
     "boosted_importances": boosted_importances,
+    "boosted_stumps": boosted_stumps,
+    "boosted_grid": boosted_grid,
+    "boosted_grid_candidates": boosted_grid_candidates,
+    "early_seasons_left": early_seasons_left,
     "grid_search": grid_search,
     "random_search": random_search,
     "lofo": lofo,
@@ -316,6 +358,35 @@ def _difference(name, home, away):
 
 _TRAIN = f"FROM featured WHERE season_year <= {LAST_TRAIN}"
 
+
+def _stumps_sql():
+    """The best split of all rows for each class: gradients of the class shares, rounded and summed along every feature's values."""
+    parts, unit, classes = boosting.MAX_BINS - 1, f"{boosting.UNIT!r}::DOUBLE", training.CLASSES
+    values = ", ".join(f"round(CAST({n} AS DOUBLE), 4) AS {n}" for n in FEATURES)
+    order = " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumerate(FEATURES))
+    per_class = " UNION ALL ".join(f"SELECT *, '{c}' AS class, n_{c} AS mine, k_{c}::DOUBLE / total AS share, k_{c} AS all_mine FROM cuts, sizes" for c in classes)
+    return f"""{FEATURED}, train AS (SELECT result, {values} {_TRAIN}),
+        sizes AS (SELECT count(*) AS total, {", ".join(f"count(*) FILTER (result = '{c}') AS k_{c}" for c in classes)} FROM train),
+        long AS (UNPIVOT train ON {", ".join(FEATURES)} INTO NAME feature VALUE x),
+        counts AS (SELECT feature, x, count(*) AS n, {", ".join(f"count(*) FILTER (result = '{c}') AS n_{c}" for c in classes)} FROM long GROUP BY ALL),
+        known AS (SELECT feature, sum(n) AS known, count(*) AS different, {", ".join(f"sum(n_{c}) AS known_{c}" for c in classes)} FROM counts GROUP BY feature),
+        placed AS (SELECT counts.feature, x, n, known, different, total - known + sum(n) OVER w AS left_rows, sum(n) OVER w AS upto,
+              {", ".join(f"k_{c} - known_{c} + sum(n_{c}) OVER w AS n_{c}" for c in classes)}
+            FROM counts JOIN known USING (feature), sizes WINDOW w AS (PARTITION BY counts.feature ORDER BY x)),
+        cuts AS (SELECT * FROM placed WHERE (different <= {parts} OR upto * {parts} // known > (upto - n) * {parts} // known)
+            UNION ALL SELECT feature, NULL, 0, known, different, total - known, 0, {", ".join(f"k_{c} - known_{c}" for c in classes)} FROM known, sizes),
+        sided AS ({per_class}),
+        sums AS (SELECT *, mine * round((share - 1) / {unit}) + (left_rows - mine) * round(share / {unit}) AS gl,
+              all_mine * round((share - 1) / {unit}) + (total - all_mine) * round(share / {unit}) AS g,
+              left_rows * round(1.5::DOUBLE * share * (1 - share) / {unit}) AS hl, total * round(1.5::DOUBLE * share * (1 - share) / {unit}) AS h
+            FROM sided),
+        gains AS (SELECT *, (gl * {unit}) * (gl * {unit}) / (hl * {unit}) + ((g - gl) * {unit}) * ((g - gl) * {unit}) / ((h - hl) * {unit})
+              - (g * {unit}) * (g * {unit}) / (h * {unit}) AS gain FROM sums WHERE left_rows >= 20 AND total - left_rows >= 20),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY round(gain, 9) DESC, CASE feature {order} END, x NULLS FIRST) AS place FROM gains)
+        SELECT class, feature, x AS threshold, round(gain, 6) AS gain, left_rows::BIGINT AS left_rows, round(-0.1::DOUBLE * (gl / hl), 9) AS left_value,
+          (total - left_rows)::BIGINT AS right_rows, round(-0.1::DOUBLE * ((g - gl) / (h - hl)), 9) AS right_value FROM ranked WHERE place = 1"""
+
+
 ORACLE = {
     "fitted_frequencies": f"""WITH {CONTESTS} SELECT league, {
         ", ".join(f"round(avg(CASE WHEN result = '{name}' THEN 1.0 ELSE 0.0 END), 3) AS {name}" for name in training.CLASSES)
@@ -325,6 +396,11 @@ ORACLE = {
         SELECT {KEY}, prediction FROM contests JOIN most ON late = (match_round > 6) WHERE season_year = {LAST_VALID}""",
     "grid_candidates": """SELECT 'maxDepth=' || d || ', minInstancesPerNode=' || m AS params, CAST(1 AS BIGINT) AS bests,
         true AS highest FROM range(1, 8) a(d), range(1, 14, 2) b(m)""",
+    "boosted_stumps": _stumps_sql(),
+    "boosted_grid_candidates": """SELECT n::INTEGER AS leaves, d::INTEGER AS depth, CAST(1 AS BIGINT) AS bests, true AS highest
+        FROM (VALUES (10), (12), (14), (15), (16), (18), (20)) a(n), range(1, 8) b(d)""",
+    "early_seasons_left": f"""{FEATURED} SELECT CAST(s AS INTEGER) AS season_year, count(*) AS "rows"
+        FROM range(1990, {LAST_TRAIN}) t(s) JOIN featured ON season_year > s AND season_year <= {LAST_TRAIN} GROUP BY s""",
     "early_season_rows": f"""{FEATURED} SELECT CAST(s AS INTEGER) AS season_year, count(*) AS "rows"
         FROM range(1990, {LAST_TRAIN}) t(s) JOIN featured ON season_year > s AND season_year <= {LAST_TRAIN} GROUP BY s""",
     "variant_rows": f"""{FEATURED} SELECT 'all' AS variant, {len(FEATURES)}::INTEGER AS features, count(*) AS "rows" {_TRAIN}
