@@ -18,11 +18,13 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twosided.llm.common import col, fold, table, text_of
+from twosided.session import materialise
 
 #: Labelled rows that are learned from at most, those with the smallest hashes of their ids.
 MAX_TRAIN_ROWS = 20_000
@@ -206,8 +208,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     """A machine from the labelled rows of ``docs`` outside the held-out fold (crc32 of the id modulo 5).
 
     The sample is the ``max_rows`` ids with the smallest hashes, so it does not depend on row order. Ids and labels that are
-    null are left out, an id labelled twice is toxic if one of its labels is 1, and each text of a repeated id counts. Only
-    the places of the sampled texts reach the driver.
+    null are left out, an id labelled twice is toxic if one of its labels is 1, and each text of a repeated id counts. One
+    task learns from the places of the sampled texts, and only the machine reaches the driver.
     """
     usable = labels.filter(col(id_col).isNotNull() & col(label_col).isNotNull() & (fold(id_col) != held_out))
     by_id = usable.groupBy(col(id_col).alias("labelled_id")).agg(F.max((col(label_col) == 1).cast("int")).alias("label"))
@@ -221,11 +223,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         for texts in batches:
             yield texts.map(hasher.places)
 
-    # At most max_rows pairs of an id and a label are broadcast.
-    rows = docs.join(F.broadcast(chosen), col(id_col) == F.col("labelled_id")).select(
-        "labelled_id", "label", hashed(text_of(text_col)).alias("places")).toArrow()
-    rows = rows.sort_by([("labelled_id", "ascending")])
-    return fit([x.values.to_numpy() for x in rows.column("places")], rows.column("label").to_numpy())
+    # At most max_rows pairs of an id and a label are broadcast, and only the texts of these meet in the one task that learns.
+    rows = docs.join(F.broadcast(chosen), col(id_col) == F.col("labelled_id")).select("labelled_id", "label", hashed(text_of(text_col)).alias("places"))
+    rows = materialise(rows, "labelled_places")
+
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += [x.values.to_numpy() for x in batch.column("places")]
+            labels.append(batch.column("label").to_numpy())
+        machine = fit(texts, np.concatenate([*labels, np.empty(0, np.int32)]))
+        yield pa.RecordBatch.from_pylist([{"bias": machine.bias, "slope": machine.slope, "offset": machine.offset, "places": machine.places.tobytes(),
+                                           "weights": machine.rows.tobytes()}])
+
+    ordered = rows.repartition(1).sortWithinPartitions("labelled_id", "places")
+    found = materialise(ordered.mapInArrow(learned, "bias double, slope double, offset double, places binary, weights binary"), "machine").first()
+    if found is None:
+        return fit([], np.empty(0, np.int32))
+    return Machine(found.bias, np.frombuffer(found.places, np.int32), np.frombuffer(found.weights).reshape(-1, FACTORS + 1), found.slope, found.offset)
 
 
 def score(docs: DataFrame, text_col: str, machine: Machine, score_col: str = "score") -> DataFrame:
