@@ -7,7 +7,7 @@ from twosided.catalog.contest_sql import CONTESTS, participants
 from twosided.catalog.feature_queries import CONTEST_FEATURES
 from twosided.catalog.impute_queries import CLEANED
 from twosided.catalog.parse_queries import KEY
-from twosided.ml import boosting, refits, search, training
+from twosided.ml import boosting, newton, parzen, refits, search, training
 from twosided.operators.features import DIFFERENCES, FEATURES, difference_features
 from twosided.plans.contest_view import ROW_KEY, contest_table, feature_table
 from twosided.session import new_path
@@ -95,18 +95,33 @@ def train_score(spark, sf_dir):
     return _scores(spark, found)
 
 
+DIFFERENCE_MODEL = ["season_year", "match_round", "capacity", "missing_cards", "missing_elo", *DIFFERENCES]
+
+
+def _optimum(train, features, scaler):
+    """The certified regression on scaled features with the usual penalty (C = 1), and the rows that it is fitted to."""
+    steps = training.preparation(features, scaler, empty=training.empty_features(train, features)).fit(train)
+    ready = steps.transform(training.with_label(train)).select("label", "features")
+    return newton.fit(ready), ready
+
+
 def difference_model(spark, sf_dir):
-    train, valid, _ = (difference_features(df) for df in _splits(spark, sf_dir))
-    features = ["season_year", "match_round", "capacity", "missing_cards", "missing_elo", *DIFFERENCES]
-    model = training.logistic(train.count(), max_iter=20)
-    done = training.train_and_score(model, train, valid, features, "minmax")
-    return training.coefficients(done.model, features)
+    """Coefficients on the differences of both sides, scaled to their ranges, at the optimum: no limit of iterations is needed."""
+    train = difference_features(_splits(spark, sf_dir)[0])
+    return _optimum(train, DIFFERENCE_MODEL, "minmax")[0].table(spark, DIFFERENCE_MODEL)
 
 
 def coefficients(spark, sf_dir):
-    train, valid, _ = _splits(spark, sf_dir)
-    done = training.train_and_score(training.logistic(train.count(), max_iter=20), train, valid, scaler="standard")
-    return training.coefficients(done.model)
+    """Coefficients on all standardised features at the optimum."""
+    return _optimum(_splits(spark, sf_dir)[0], FEATURES, "standard")[0].table(spark)
+
+
+def coefficients_certified(spark, sf_dir):
+    """Whether the penalised gradient, computed anew in expressions, is below 1e-6 for every coefficient and intercept."""
+    fitted, ready = _optimum(_splits(spark, sf_dir)[0], FEATURES, "standard")
+    names = [F.array(*[F.lit(x) for x in names]) for names in ([*FEATURES, "intercept"], training.CLASSES)]
+    return newton.gradient(ready, fitted).select(
+        F.get(names[0], "place").alias("feature"), F.get(names[1], "class").alias("class"), (F.abs("slope") < 1e-6).alias("stationary"))
 
 
 def confusion(spark, sf_dir):
@@ -172,6 +187,25 @@ def random_search(spark, sf_dir):
         return search.random_search(training.random_forest(), values, *frames, trials=4)
 
 
+def sequential_search(spark, sf_dir):
+    """24 trials, as in the study, each proposed from the scores of the earlier ones.
+
+    Forests of 2 to 6 trees of depth 2 to 5 instead of 100 to 500 trees of depth 5 to 20, for the trials are made one after the other
+    and are minutes each at the larger sizes on a small machine; the options are arguments of ``parzen.sequential_search``.
+    """
+    train, valid, _ = _splits(spark, sf_dir)
+    values = {"numTrees": range(2, 7), "maxDepth": range(2, 6), "minInstancesPerNode": range(1, 11)}
+    with search.prepared(train, valid) as frames:
+        return parzen.sequential_search(training.random_forest(), values, *frames)
+
+
+def sequential_trials(spark, sf_dir):
+    """How many trials :func:`sequential_search` makes, how many differ and are best, and whether the best has the highest accuracy."""
+    found = sequential_search(spark, sf_dir)
+    return found.agg(F.count("*").alias("trials"), F.count_distinct("params").alias("different"), F.count_if("best").alias("bests"),
+                     (F.max("valid_accuracy") == F.max(F.when(F.col("best"), F.col("valid_accuracy")))).alias("highest"))
+
+
 def lofo(spark, sf_dir):
     """Accuracy lost without each feature, by boosted trees grown together. One round instead of 100: see :func:`boosted_importances`."""
     train, valid, _ = _splits(spark, sf_dir)
@@ -315,6 +349,9 @@ QUERIES = {
     "confusion": confusion,
     "forest_importances": forest_importances,
     "boosted_importances": boosted_importances,
+    "sequential_search": sequential_search,
+    "sequential_trials": sequential_trials,
+    "coefficients_certified": coefficients_certified,
     "boosted_stumps": boosted_stumps,
     "boosted_grid": boosted_grid,
     "boosted_grid_candidates": boosted_grid_candidates,
@@ -397,6 +434,9 @@ ORACLE = {
     "grid_candidates": """SELECT 'maxDepth=' || d || ', minInstancesPerNode=' || m AS params, CAST(1 AS BIGINT) AS bests,
         true AS highest FROM range(1, 8) a(d), range(1, 14, 2) b(m)""",
     "boosted_stumps": _stumps_sql(),
+    "sequential_trials": "SELECT 24::BIGINT AS trials, 24::BIGINT AS different, 1::BIGINT AS bests, true AS highest",
+    "coefficients_certified": f"""SELECT f AS feature, c AS class, true AS stationary
+        FROM (VALUES {", ".join(f"('{n}')" for n in [*FEATURES, "intercept"])}) a(f), (VALUES {", ".join(f"('{c}')" for c in training.CLASSES)}) b(c)""",
     "boosted_grid_candidates": """SELECT n::INTEGER AS leaves, d::INTEGER AS depth, CAST(1 AS BIGINT) AS bests, true AS highest
         FROM (VALUES (10), (12), (14), (15), (16), (18), (20)) a(n), range(1, 8) b(d)""",
     "early_seasons_left": f"""{FEATURED} SELECT CAST(s AS INTEGER) AS season_year, count(*) AS "rows"
