@@ -118,3 +118,33 @@ def test_residual_gaps_and_missing_seasons(spark, frames):
     assert done.valid_accuracy > majority(valid) + 0.2
     rows = spark.createDataFrame([(2000,), (2002,), (2003,), (None,)], "season_year int")
     assert [df.count() for df in training.split_by_season(rows, 2001, 2002)] == [1, 1, 2]
+
+
+def test_nodes_of_a_saved_forest_give_its_importances(spark):
+    import random
+
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    rng, names = random.Random(4), ["a", "b", "c"]
+    rows = [(rng.random(), rng.random(), rng.random()) for _ in range(500)]
+    df = spark.createDataFrame([(float(a + 0.3 * b + 0.2 * rng.random() > 0.7), a, b, c) for a, b, c in rows], ["label", *names])
+    df = VectorAssembler(inputCols=names, outputCol="features").transform(df)
+    for classifier in (training.random_forest(5, 4), DecisionTreeClassifier(maxDepth=3, seed=1)):
+        fitted = classifier.fit(df)
+        nodes = training.tree_nodes(fitted, names)
+        found = {r.feature: (r.importance, r.splits) for r in training.split_importances(nodes, names).collect()}
+        theirs = fitted.featureImportances.toArray()
+        walked = dict.fromkeys(names, 0)
+        held = {(r.tree, r.node): r for r in nodes.collect()}
+        stack = [key for key in held if key[1] == 0]
+        seen = 0
+        while stack:
+            r = held[stack.pop()]
+            seen += 1
+            if r.feature is not None:
+                walked[r.feature] += 1
+                stack += [(r.tree, r.left), (r.tree, r.right)]
+        assert seen == len(held) and sum(walked.values()) > 3
+        for i, name in enumerate(names):
+            assert abs(found[name][0] - theirs[i]) < 0.03 and found[name][1] == walked[name]

@@ -131,9 +131,13 @@ def confusion(spark, sf_dir):
 
 
 def forest_importances(spark, sf_dir):
-    train, valid, _ = _splits(spark, sf_dir)
-    done = training.train_and_score(training.random_forest(10, 5), train, valid)
-    return training.importances(done.model.stages[-1])
+    """Each feature's share of the gains of a forest, and how many nodes it splits.
+
+    10 trees of depth 5 instead of 100 without limit of depth: the latter do not end in minutes on a small machine at the larger sizes.
+    """
+    train, _, _ = _splits(spark, sf_dir)
+    with search.prepared(train, train.limit(0)) as (fit_on, _):
+        return training.split_importances(training.tree_nodes(training.random_forest(10, 5).fit(fit_on)))
 
 
 def boosted_importances(spark, sf_dir):
@@ -281,15 +285,26 @@ def fitted_frequencies(spark, sf_dir):
     return scored.groupBy("league").agg(*[F.round(F.max(name), 3).alias(name) for name in training.CLASSES])
 
 
-def majority_tree(spark, sf_dir):
-    """A tree of depth 1 on one binary column predicts the majority of each side."""
-    columns = contest_table(spark, sf_dir).select(*ROW_KEY, "result", (F.col("match_round") > 6).cast("double").alias("late"))
+def _one_split(spark, sf_dir, name, condition):
+    columns = contest_table(spark, sf_dir).select(*ROW_KEY, "result", condition.cast("double").alias(name))
     train, valid, _ = training.split_by_season(columns, LAST_TRAIN, LAST_VALID)
     tree = training.random_forest(1, 1).setBootstrap(False).setFeatureSubsetStrategy("all").setMinInfoGain(0.0)
-    fitted = training.train_and_score(tree, train, valid, ["late"]).model
+    return training.train_and_score(tree, train, valid, [name]).model, valid
+
+
+def majority_tree(spark, sf_dir):
+    """A tree of depth 1 on one binary column predicts the majority of each side."""
+    fitted, valid = _one_split(spark, sf_dir, "late", F.col("match_round") > 6)
     return training.with_prediction(fitted, valid).select(*ROW_KEY, "prediction")
 
 
+def majority_tree_nodes(spark, sf_dir):
+    """The nodes of such a tree on a column that tells the majority: their rows, the gain of the split and the class that each predicts."""
+    nodes = training.tree_nodes(_one_split(spark, sf_dir, "won", F.col("home_points") == 3)[0].stages[-1], ["won"])
+    names = F.array(*[F.lit(name) for name in training.CLASSES])
+    return nodes.select("node", "feature", "rows", F.round("gain", 9).alias("gain"), F.get(names, F.col("prediction").cast("int")).alias("prediction"))
+
+
 def grid_candidates(spark, sf_dir):
     """The 7 x 7 candidates of a grid search, how many of them are best, and whether that one has the highest accuracy."""
     train, valid, _ = _splits(spark, sf_dir)
@@ -332,6 +347,7 @@ def saved_model_agreement(spark, sf_dir):
 QUERIES = {
     "fitted_frequencies": fitted_frequencies,
     "majority_tree": majority_tree,
+    "majority_tree_nodes": majority_tree_nodes,
     "grid_candidates": grid_candidates,
     "early_season_rows": early_season_rows,
     "variant_rows": variant_rows,
@@ -431,6 +447,14 @@ ORACLE = {
     "majority_tree": f"""WITH {CONTESTS}, most AS (SELECT match_round > 6 AS late, mode(result) AS prediction FROM contests
         WHERE season_year <= {LAST_TRAIN} GROUP BY late)
         SELECT {KEY}, prediction FROM contests JOIN most ON late = (match_round > 6) WHERE season_year = {LAST_VALID}""",
+    "majority_tree_nodes": f"""WITH {CONTESTS}, train AS (SELECT home_points = 3 AS won, result FROM contests WHERE season_year <= {LAST_TRAIN}),
+        sides AS (SELECT 0 AS node, result FROM train UNION ALL SELECT CASE WHEN won THEN 2 ELSE 1 END, result FROM train),
+        counts AS (SELECT node, result, count(*) AS n FROM sides GROUP BY ALL),
+        nodes AS (SELECT node, sum(n)::BIGINT AS "rows", 1 - sum(n * n)::DOUBLE / (sum(n)::DOUBLE * sum(n)::DOUBLE) AS impurity, arg_max(result, n) AS prediction
+            FROM counts GROUP BY node),
+        below AS (SELECT sum("rows" * impurity) / sum("rows") AS impurity FROM nodes WHERE node > 0)
+        SELECT node::INTEGER AS node, CASE WHEN node = 0 THEN 'won' END AS feature, "rows",
+          CASE WHEN node = 0 THEN round(nodes.impurity - below.impurity, 9) END AS gain, prediction FROM nodes, below""",
     "grid_candidates": """SELECT 'maxDepth=' || d || ', minInstancesPerNode=' || m AS params, CAST(1 AS BIGINT) AS bests,
         true AS highest FROM range(1, 8) a(d), range(1, 14, 2) b(m)""",
     "boosted_stumps": _stumps_sql(),

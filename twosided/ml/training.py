@@ -20,11 +20,12 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from twosided.operators.features import FEATURES
 from twosided.operators.numbering import over_sample, under_sample
+from twosided.session import new_path
 
 # Classes in label order (alphabetical) and in report order: fixed values.
 CLASSES = ["away_win", "draw", "home_win"]
@@ -182,6 +183,40 @@ def importances(fitted, features: Sequence[str] = FEATURES) -> DataFrame:
     return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy("importance")
 
 
+def tree_nodes(fitted, features: Sequence[str] = FEATURES) -> DataFrame:
+    """``(tree, node, feature, rows, gain, impurity, prediction, left, right)``: every node of a fitted tree or forest.
+
+    The nodes are those that Spark saves, read as a table, so no tree passes through the driver. A leaf has no feature, gain or
+    children. ``rows`` counts repeated draws of a row as often as they were drawn.
+    """
+    spark = SparkSession.active()
+    path = new_path(spark, "trees")
+    fitted.write().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    saved = saved if "treeID" in saved.columns else saved.select(F.lit(0).alias("treeID"), F.struct("*").alias("nodeData"))
+    split = F.col("nodeData.split.featureIndex") >= 0
+    names = F.array(*[F.lit(name) for name in features])
+    return saved.select(
+        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"), F.when(split, F.get(names, F.col("nodeData.split.featureIndex"))).alias("feature"),
+        F.col("nodeData.rawCount").alias("rows"), F.when(split, F.col("nodeData.gain")).alias("gain"),
+        F.col("nodeData.impurity").alias("impurity"), F.col("nodeData.prediction").alias("prediction"),
+        F.when(split, F.col("nodeData.leftChild")).alias("left"), F.when(split, F.col("nodeData.rightChild")).alias("right"))
+
+
+def split_importances(nodes: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """``(feature, importance, splits)`` of a table of :func:`tree_nodes`: shares of gain, and how many nodes a feature splits.
+
+    A node's gain counts by its rows; every tree's gains are scaled to add up to 1 before trees are added.
+    """
+    used = nodes.filter("feature is not null").groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("rows")).alias("gain"), F.count("*").alias("splits"))
+    trees = used.groupBy("tree").agg(F.sum("gain").alias("all"))
+    each = used.join(trees, "tree").groupBy("feature").agg(F.sum(F.try_divide("gain", "all")).alias("gain"), F.sum("splits").alias("splits"))
+    names = nodes.sparkSession.createDataFrame([(i, f) for i, f in enumerate(features)], "place int, feature string")
+    total = F.sum("gain").over(Window.partitionBy())  # a row for each feature
+    found = names.join(each, "feature", "left")
+    return found.select("feature", F.coalesce(F.try_divide("gain", total), F.lit(0.0)).alias("importance"), F.coalesce("splits", F.lit(0)).alias("splits"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
