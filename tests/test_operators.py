@@ -165,3 +165,64 @@ def test_dates_in_several_layouts(spark):
         got = [str(r.d) for r in df.select(text.parse_date("d", day_first).alias("d")).collect()]
         assert got == ["2023-08-13", "2023-08-13", "2023-08-13", "2020-09-12", fifth, "None", "None", "None"]
     assert text.unparsed_dates(df, "d").first().unparsed == 1
+
+
+@pytest.mark.parametrize("max_values", [10**7, 5])
+def test_quantiles_by_radix_are_those_of_sorting(spark, max_values):
+    from twosided.operators.quantiles import quantiles_from_counts, value_counts
+
+    rng = np.random.default_rng(3)
+    parts = {"a": np.concatenate([rng.normal(0, 1, 800), -(10.0 ** rng.uniform(-300, 300, 200)), [0.0, -0.0, -0.0, 5e-324, -5e-324, 1.7e308]]),
+             None: np.repeat(rng.integers(-3, 3, 40).astype(float), 7), "few": np.array([2.0, -1.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, x in parts.items() for v in x], "k string, x double").repartition(5)
+    fractions = {"q0": 0.0, "q1": 0.013, "q5": 0.5, "q9": 0.97, "q10": 1.0}
+    rows = quantiles_from_counts(*value_counts(df, ["k"], ["x"]), ["k"], fractions, max_values).collect()
+    assert len(rows) == 3
+    for r in rows:
+        wanted = np.quantile(parts[r.k], list(fractions.values()))
+        assert np.allclose([r[name] for name in fractions], wanted, rtol=1e-12)
+
+
+def test_quantiles_of_a_million_doubles(spark):
+    from twosided.operators.quantiles import quantiles_from_counts, value_counts
+
+    df = spark.range(1_000_000).select(F.lit(1).alias("k"), ((F.col("id") * 7919) % 1_000_003 / 7.0 - 50_000).alias("x"))
+    found = quantiles_from_counts(*value_counts(df, ["k"], ["x"]), ["k"], {"a": 0.25, "b": 0.5}, 1000).first()
+    values = np.sort((np.arange(1_000_000) * 7919) % 1_000_003 / 7.0 - 50_000)
+    assert [found.a, found.b] == pytest.approx(np.quantile(values, [0.25, 0.5]).tolist(), rel=1e-12)
+
+
+@pytest.mark.parametrize("bucket_values", [10_000, 3, 1])
+def test_absent_pairs_by_buckets(spark, bucket_values):
+    import random
+
+    from twosided.operators.profile import absent_pairs
+
+    rng = random.Random(bucket_values)
+    rows = {(i, v) for i in range(12) for v in range(30) if rng.random() < (0.97 if i < 6 else 0.2)} | {(3, v) for v in range(30)}
+    df = spark.createDataFrame([*rows, *rows, (99, None), (None, 77), (None, None)], "i int, v int")
+    found = {tuple(r) for r in absent_pairs(df, "i", "v", bucket_values).collect()}
+    assert found == {(i, v) for i in [*range(12), 99] for v in [*range(30), 77] if (i, v) not in rows}
+    assert absent_pairs(df.filter("i is null"), "i", "v", bucket_values).count() == 0
+
+
+def test_pivot_finds_its_columns(spark):
+    from twosided.operators.profile import pivot_block
+
+    df = spark.createDataFrame([(1, "b", 2), (1, "a", 3), (2, "c", 4), (2, None, 9), (2, "c", 5)], "i int, c string, x int")
+    found = pivot_block(df, "i", "c", None, F.sum("x")).orderBy("i")
+    assert found.columns == ["i", "a", "b", "c"] and [tuple(r) for r in found.collect()] == [(1, 3, 2, None), (2, None, None, 9)]
+    with pytest.raises(ValueError, match="more than 2 values"):
+        pivot_block(df, "i", "c", None, F.sum("x"), max_columns=2)
+    assert pivot_block(df.filter("c is null"), "i", "c", None, F.sum("x")).columns == ["i"]
+
+
+def test_cumulative_shares_of_many_values(spark):
+    from twosided.operators.profile import cumulative_share
+
+    values = [None] * 3 + [i * i % 37 for i in range(400)]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    for max_rows in (10, 10**6):
+        found = {r.v: (r.rows, round(r.cumulative, 9)) for r in cumulative_share(df, "v", max_rows=max_rows).collect()}
+        assert found == {v: (values.count(v), round(100 * sum(x is None or v is not None and x <= v for x in values) / 403, 9)) for v in set(values)}
+    assert cumulative_share(df.limit(0), "v").count() == 0

@@ -104,7 +104,7 @@ def teams_per_block(spark, sf_dir):
 
 def teams_per_block_wide(spark, sf_dir):
     counts = profile.distinct_per_block(_named(spark, sf_dir), ["league", "season_year"], "home_team", "num_teams")
-    return profile.pivot_block(counts, "season_year", "league", LEAGUES[:5], F.first("num_teams")).na.fill(0)
+    return profile.pivot_block(counts, "season_year", "league", None, F.first("num_teams")).na.fill(0)
 
 
 def matches_per_block(spark, sf_dir):

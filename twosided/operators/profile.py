@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twosided.operators.numbering import with_row_ids
+from twosided.operators.ordered import MAX_GROUP_ROWS, SumBefore, with_ordered
 from twosided.operators.quantiles import grouped_quantiles
-from twosided.session import materialise
+from twosided.session import materialise, materialise_counted
 
 
 def distinct_per_block(df: DataFrame, block: Sequence[str], column: str, name: str) -> DataFrame:
@@ -25,11 +26,26 @@ def rate_per_block(df: DataFrame, block: Sequence[str], rates: Mapping[str, Colu
     return df.groupBy(*block).agg(*[(F.sum(value) / F.count(F.lit(1))).alias(name) for name, value in rates.items()])
 
 
-def pivot_block(df: DataFrame, index: str, column: str, values: Sequence[object], cell: Column) -> DataFrame:
-    """One row per ``index`` and one column per listed value of ``column``."""
+def pivot_block(df: DataFrame, index: str, column: str, values: Sequence[object] | None, cell: Column, max_columns: int = 1000) -> DataFrame:
+    """One row per ``index`` and one column per value of ``column``: the listed ones, or all that there are, in order.
+
+    Values are looked for first if none are listed; more than ``max_columns`` of them are an error, for a table has no such width.
+    """
+    if values is None:
+        values = column_values(df, column, max_columns)
+    if not values:
+        return df.select(index).distinct()
     return df.groupBy(index).pivot(column, list(values)).agg(cell)
 
 
+def column_values(df: DataFrame, column: str, most: int = 1000) -> list:
+    """The different values of a column in ascending order; more than ``most`` are an error. Null is no value."""
+    found = [r[0] for r in df.select(column).na.drop().distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values, too many for columns")
+    return sorted(found)
+
+
 def mix_percent(df: DataFrame, block: Sequence[str], column: str, values: Sequence[str]) -> DataFrame:
     """Per block the share of each value of ``column`` among the listed ones, in percent."""
     counts = [F.count_if(F.col(column) == value).alias(value) for value in values]
@@ -37,22 +53,29 @@ def mix_percent(df: DataFrame, block: Sequence[str], column: str, values: Sequen
     return df.groupBy(*block).agg(*counts).select(*block, *[(F.col(v) / total * 100).alias(v) for v in values])
 
 
-def absent_pairs(df: DataFrame, index: str, column: str) -> DataFrame:
+def absent_pairs(df: DataFrame, index: str, column: str, bucket_values: int = 10_000) -> DataFrame:
     """Pairs of an existing ``index`` and an existing ``column`` value that no row has; null is no value.
 
-    Only indexes that lack a value are paired with the values, which meet them as one array; the pairs that rows have
-    are then taken out. The result is as large as the number of absent pairs.
+    Values are dealt into buckets of about ``bucket_values`` by their hash. An index is compared with a bucket by two counts, and
+    only where it lacks some of the bucket's values it meets these as an array; the pairs that rows have are then taken
+    out. No task holds all values, and the result is as large as the number of absent pairs.
     """
     present = materialise(df.select(index, column).na.drop().distinct(), "pairs")
     # An index or value that stands only beside nulls exists too.
-    values = materialise(df.select(column).na.drop().distinct(), "values")
-    everything = values.agg(F.collect_list(column).alias("__values"), F.count(F.lit(1)).alias("__n")).withColumn("__one", F.lit(1))
+    values, n = materialise_counted(df.select(column).na.drop().distinct(), "values")
+    buckets = max(1, -(-n // bucket_values))
+    place = F.pmod(F.xxhash64(column), F.lit(buckets)).alias("__bucket")
+    held = values.groupBy(place).agg(F.collect_list(column).alias("__values"), F.count(F.lit(1)).alias("__n"))
+    held = materialise(held, "value_buckets")
     indexes = df.select(index).na.drop().distinct()
-    counts = present.groupBy(F.col(index).alias("__index")).agg(F.count(F.lit(1)).alias("__has"))
-    known = indexes.join(counts, F.col(index) == F.col("__index"), "left").select(
-        index, F.coalesce("__has", F.lit(0)).alias("__has"), F.lit(1).alias("__one"))
-    lacking = known.join(everything, "__one").filter(F.col("__has") < F.col("__n"))
-    return lacking.select(index, F.explode("__values").alias(column)).join(present, [index, column], "left_anti")
+    has = present.groupBy(F.col(index).alias("__index"), place).agg(F.count(F.lit(1)).alias("__has"))
+    # Every index by the numbers of the buckets, at most one for every ``bucket_values`` values; the arrays come after the comparison.
+    every = indexes.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
+    known = every.join(has.withColumnRenamed("__bucket", "__of"), (F.col(index) == F.col("__index")) & (F.col("__bucket") == F.col("__of")), "left")
+    lacking = known.select(index, "__bucket", F.coalesce("__has", F.lit(0)).alias("__has")).join(held.select("__bucket", "__n"), "__bucket").filter(
+        F.col("__has") < F.col("__n")).select(index, "__bucket")
+    met = lacking.join(held.select("__bucket", "__values"), "__bucket")
+    return met.select(index, F.explode("__values").alias(column)).join(present, [index, column], "left_anti")
 
 
 def null_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -95,17 +118,17 @@ def share_of(df: DataFrame, condition: Column, name: str) -> DataFrame:
     return df.agg(F.avg(F.when(condition, 1.0).otherwise(0.0)).alias(name))
 
 
-def cumulative_share(df: DataFrame, column: str, start: object = None) -> DataFrame:
-    """Percent of all rows per value of ``column`` and cumulative along it, from ``start`` on.
+def cumulative_share(df: DataFrame, column: str, start: object = None, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Percent of all rows per value of ``column`` and cumulative along it, from ``start`` on; null comes first.
 
-    The window runs over one row per value, after the rows have been counted.
+    Rows are counted per value first; values beyond ``max_rows`` are summed in slices of their order (see :mod:`ordered`).
     """
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-    along = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    percent = F.col("rows") / F.sum("rows").over(Window.partitionBy()) * 100
-    shares = counts.withColumns(
-        {"percent": percent, "cumulative": F.sum("rows").over(along) / F.sum("rows").over(Window.partitionBy()) * 100}
-    )
+    counts = materialise(df.groupBy(column).agg(F.count(F.lit(1)).alias("rows")), "counts")
+    total = F.lit(counts.agg(F.sum("rows")).first()[0])
+    group, before = f"{column}_group", f"{column}_before"
+    placed = with_ordered(counts.withColumn(group, F.lit(1)), [group], [column], {before: SumBefore("rows")}, max_rows)
+    shares = placed.select(column, "rows", (F.col("rows") / total * 100).alias("percent"),
+                           ((F.col(before) + F.col("rows")) / total * 100).alias("cumulative"))
     return shares if start is None else shares.filter(F.col(column) >= start)
 
 

@@ -1,7 +1,9 @@
 """Exact medians and quantiles per group, from counts of distinct values.
 
 Rows are counted per (group, column, value) before the shuffle, so a group that holds a large share of the table
-becomes as small as its number of distinct values.
+becomes as small as its number of distinct values. A group whose values fit one aggregate is finished at once. In larger
+ones the values at the wanted ranks are selected by radix: numbers have 64-bit codes of the same order, counts of the upper sixteen bits tell in
+which range a rank lies, and only that range is counted by the next sixteen bits. Nothing is sorted but these counts.
 """
 
 from __future__ import annotations
@@ -9,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twosided.operators.ordered import MAX_GROUP_ROWS, SumBefore, with_ordered
+from twosided.operators.ordered import MAX_GROUP_ROWS
 from twosided.session import materialise, materialise_counted
 
 # Distinct values that one aggregate may hold in memory.
@@ -36,39 +38,67 @@ def quantiles_from_counts(
     rows: int,
     keys: Sequence[str],
     fractions: Mapping[str, float],
-    max_rows: int = MAX_GROUP_ROWS,
+    max_values: int = MAX_VALUES,
 ) -> DataFrame:
     """``keys``, ``measure`` and one column per named fraction, interpolated linearly between ranks.
 
-    ``rows`` is the number of counts. One aggregate holds a group's distinct values in memory; that is used while
-    all counts together are few (``MAX_VALUES``, or ``max_rows`` if smaller), and the ranks are looked up along the
-    ordered values beyond it. Both ways interpolate by the same formula.
+    ``rows`` is the number of counts. No group has more values than there are counts, so groups are sized only beyond
+    ``max_values``. Both ways interpolate by the same formula.
     """
     group = [*keys, "measure"]
-    if rows > min(max_rows, MAX_VALUES):
-        return _quantiles_by_rank(counts, group, fractions, max_rows)
+    max_values = min(max_values, MAX_VALUES)
+    if rows <= max_values:
+        return _quantiles_at_once(counts, group, fractions)
+    sizes = counts.groupBy(*group).agg(F.sum("n").alias("__rows"), F.count(F.lit(1)).alias("__values"))
+    large = materialise(sizes.filter(F.col("__values") > max_values).drop("__values"), "large_groups")
+    renamed = large.withColumnsRenamed({key: f"__{key}" for key in group})
+    match = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in group])
+    inside = counts.join(renamed, match).select(*group, "value", "n")
+    rest = counts.join(renamed, match, "left_anti")
+    return _quantiles_at_once(rest, group, fractions).unionByName(_quantiles_by_radix(inside, large, group, fractions))
+
+
+def _quantiles_at_once(counts, group, fractions) -> DataFrame:
     wanted = F.array(*[F.lit(float(fraction)) for fraction in fractions.values()])
     found = counts.groupBy(*group).agg(F.percentile("value", wanted, F.col("n")).alias("__found"))
     return found.select(*group, *[F.col("__found")[i].alias(name) for i, name in enumerate(fractions)])
 
 
-def _quantiles_by_rank(counts, group, fractions, max_rows) -> DataFrame:
-    # Each value covers the ranks from the rows before it up to its own count.
-    placed = with_ordered(counts, group, ["value"], {"before": SumBefore("n")}, max_rows)
-    totals = counts.groupBy(*[F.col(key).alias(f"__{key}") for key in group]).agg(F.sum("n").alias("rows"))
-    totals = materialise(totals, "totals")
-    match = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in group])
-    placed = placed.join(totals, match)
-    found = []
+def ordered_code(value: Column) -> Column:
+    """A 64-bit number for each double, in the same order; both zeros have one code, and NaN comes last."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1)))
+
+
+def _quantiles_by_radix(counts, large, group, fractions) -> DataFrame:
+    """Quantiles of the groups in ``large``, which has the number of their rows."""
+    def same(names: Sequence[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in names])
+
+    coded = materialise(counts.withColumn("code", ordered_code(F.col("value"))), "coded_values")
+    ranks = []
     for name, fraction in fractions.items():
-        rank = F.lit(fraction) * (F.col("rows") - 1)
-        for part, at in (("low", F.floor(rank)), ("high", F.ceil(rank))):
-            covered = (F.col("before") <= at) & (at < F.col("before") + F.col("n"))
-            found.append(F.max(F.when(covered, F.col("value"))).alias(f"__{part}_{name}"))
-    picked = placed.groupBy(*group, "rows").agg(*found)
+        rank = F.lit(float(fraction)) * (F.col("__rows") - 1)
+        ranks += [F.struct(F.lit(f"{part}_{name}").alias("which"), at.cast("long").alias("at")) for part, at in (("low", F.floor(rank)), ("high", F.ceil(rank)))]
+    wanted = large.select(*group, F.explode(F.array(*ranks)).alias("__r")).select(*group, "__r.which", "__r.at", F.lit(0).cast("long").alias("range"))
+    for shift in (48, 32, 16, 0):
+        # A row for each wanted rank and level; each range holds 65,536 counts at most.
+        outer = F.shiftright("code", shift + 16) if shift < 48 else F.lit(0).cast("long")
+        open_ranges = wanted.select(*[F.col(name).alias(f"__{name}") for name in [*group, "range"]]).distinct()
+        met = coded.withColumn("range", outer).join(open_ranges, same([*group, "range"]))
+        inner = met.groupBy(*group, "range", F.shiftright("code", shift).alias("within")).agg(F.sum("n").alias("n"), F.min("value").alias("value"))
+        along = Window.partitionBy(*group, "range").orderBy("within").rowsBetween(Window.unboundedPreceding, -1)
+        placed = inner.withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
+        asked = wanted.select(*[F.col(name).alias(f"__{name}") for name in [*group, "range"]], "which", "at")
+        hit = placed.join(asked, same([*group, "range"]) & (F.col("before") <= F.col("at")) & (F.col("at") < F.col("before") + F.col("n")))
+        wanted = materialise(hit.select(*group, "which", (F.col("at") - F.col("before")).alias("at"), F.col("within").alias("range"), "value"), "ranks")
+    picked = wanted.groupBy(*group).agg(*[
+        F.max(F.when(F.col("which") == f"{part}_{name}", F.col("value"))).alias(f"__{part}_{name}") for name in fractions for part in ("low", "high")])
+    rows = large.select(*[F.col(name).alias(f"__{name}") for name in group], "__rows")
+    picked = picked.join(rows, same(group))
     result = []
     for name, fraction in fractions.items():
-        rank = F.lit(fraction) * (F.col("rows") - 1)
+        rank = F.lit(float(fraction)) * (F.col("__rows") - 1)
         low, high = F.col(f"__low_{name}"), F.col(f"__high_{name}")
         # The formula of Spark's percentile, so that both ways give the same doubles.
         between = (F.ceil(rank) - rank) * low + (rank - F.floor(rank)) * high

@@ -85,6 +85,11 @@ def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`raw_contests`, written once for all sources that are spelled out from it."""
+    return _written_once(spark, sf_dir, "raw_contests", lambda: raw_contests(spark, sf_dir))
+
+
 def contest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`contests`, written once per session so that later queries read only the columns they need."""
     return _written_once(spark, sf_dir, "contests", lambda: contests(spark, sf_dir))
