@@ -68,24 +68,62 @@ def referee_name(column: str = "referee") -> Column:
     return extracted(column, REFEREE)
 
 
-# Date layouts in the order in which they are tried: fixed values.
-DATES = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd"]
-DAY_FIRST = ["dd-MM-yyyy", "dd/MM/yyyy", "dd.MM.yyyy", "dd-MM-yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss"]
-MONTH_FIRST = ["MM-dd-yyyy", "MM/dd/yyyy", "MM-dd-yyyy HH:mm:ss", "MM/dd/yyyy HH:mm:ss"]
+# What may stand beside the day, month and year of a date, in lower case: fixed values.
+TIME_OF_DAY = r"(?:^|[t, ]+)(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?[ap]\.?m\.?)?(?: ?(?:z|utc|gmt)|[+-]\d{2}:?\d{2})?$"
+WEEKDAY = r"^(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\.?,? +"
+DATE = r"^(?:[0-9]{8}|(?:[0-9]{1,4}|[a-z]{3,9}\.?)(?:[ ,./-]+(?:[0-9]{1,4}|[a-z]{3,9}\.?)){2})$"
+MONTH_NAMES = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+#: Two-digit years from this one on are of the last century.
+LAST_CENTURY = 69
 
 
 def parse_date(column: str, day_first: bool = False) -> Column:
-    """A date from text in one of several layouts, a time of day allowed; null where it is none.
+    """A date from text in any usual spelling, a weekday before it and a time of day after it allowed; null where it is none.
 
-    Year-first text is read as such in either mode; otherwise the day comes first if ``day_first``, else the month, and the
-    other order is tried where that is no date.
+    The text is taken apart into three tokens, or eight digits as year, month and day. A name among them is the month; beside it the
+    year is the number of more than two digits, or else the last. Of three numbers, a first one of four digits is the year and the month
+    comes next; otherwise the last is the year, and the day comes first if ``day_first``, else the month. Where one order is no date, the
+    other one is tried. Two-digit years are from 1969 to 2068.
     """
-    layouts = [*DATES, *(DAY_FIRST + MONTH_FIRST if day_first else MONTH_FIRST + DAY_FIRST)]
-    return F.coalesce(*[F.try_to_timestamp(F.col(column), F.lit(layout)) for layout in layouts]).cast("date")
+    low = F.trim(F.lower(F.col(column)))
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, TIME_OF_DAY, ""), WEEKDAY, ""), r"(\d)(?:st|nd|rd|th)\b(?: of\b)?", "$1")
+    bare = F.when(bare.rlike(DATE), bare)
+    parts = F.when(F.length(bare) == F.length(F.regexp_extract(bare, r"^\d{8}", 0)), F.array(
+        F.substring(bare, 1, 4), F.substring(bare, 5, 2), F.substring(bare, 7, 2))).otherwise(F.regexp_extract_all(bare, F.lit("([a-z]+|[0-9]+)"), F.lit(1)))
+    named = F.transform(parts, lambda x: F.when(x.rlike("^[a-z]"), _month_of(x)))
+    a, b, c = (F.get(parts, F.lit(i)) for i in range(3))
+    month = [F.get(named, F.lit(i)) for i in range(3)]
+    spelled = [F.when(month[i].isNotNull(), _day(*order)) for i, order in enumerate((
+        _year_and_day(month[0], b, c), _year_and_day(month[1], a, c), _year_and_day(month[2], a, b)))]
+    day_then_month, month_then_day = _day(c, b, a), _day(c, a, b)
+    first, second = (day_then_month, month_then_day) if day_first else (month_then_day, day_then_month)
+    numbers = F.when(F.length(a) == 4, F.coalesce(_day(a, b, c), _day(a, c, b))).otherwise(F.coalesce(first, second))
+    names = F.size(F.filter(parts, lambda x: x.rlike("^[a-z]")))
+    return F.when(names == 1, F.coalesce(*spelled)).when(names == 0, numbers)
+
+
+def _month_of(word: Column) -> Column:
+    """The number of a month from its name or a beginning of at least three letters; null for other words."""
+    return F.coalesce(*[F.when(F.lit(name).startswith(word) | ((word == "sept") & F.lit(name == "september")), F.lit(str(i)))
+                        for i, name in enumerate(MONTH_NAMES, 1)])
+
+
+def _year_and_day(month: Column, a: Column, b: Column) -> tuple[Column, Column, Column]:
+    """Year, month and day of two numbers beside a month's name."""
+    swapped = F.length(a) > 2
+    return F.when(swapped, a).otherwise(b), month, F.when(swapped, b).otherwise(a)
+
+
+def _day(year: Column, month: Column, day: Column) -> Column:
+    """The date of three numbers as text; null if there is no such day."""
+    short = F.length(year) <= 2
+    full = F.when(short, (F.lit(2000) - F.when(year.try_cast("int") >= LAST_CENTURY, 100).otherwise(0) + year.try_cast("int")).cast("string")).when(F.length(year) == 4, year)
+    fits = (F.length(month) <= 2) & (F.length(day) <= 2)
+    return F.when(fits, F.try_to_timestamp(F.concat_ws("-", F.nullif(full, F.lit("")), F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd"))).cast("date")
 
 
 def unparsed_dates(df: DataFrame, column: str, day_first: bool = False) -> DataFrame:
-    """How many values of ``column`` that stand for something are no date in any layout."""
+    """How many values of ``column`` that stand for something are no date in any spelling."""
     known = F.col(column).isNotNull() & ~F.col(column).isin(NULL_TOKENS)
     return df.agg(F.count_if(known & parse_date(column, day_first).isNull()).alias("unparsed"))
 
