@@ -181,25 +181,39 @@ def _trained(texts: list[np.ndarray], labels: np.ndarray, rng: np.random.Generat
     rows[:, 1:] = rng.normal(0, INIT, (len(learned), FACTORS))
     squares, bias_square = np.full(rows.shape, SQUARES), SQUARES
     shrink = np.array([SHRINK, *[SHRINK_PAIRS] * FACTORS])
+    met, local, last, step = np.zeros(len(rows), bool), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), 0
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
         for start in range(0, len(order), BATCH):
             chosen = order[start : start + BATCH]
             sizes = np.array([len(texts[i]) for i in chosen])
             at, text = np.concatenate([texts[i] for i in chosen]), np.repeat(np.arange(len(chosen)), sizes)
+            # Only places of the batch are worked on; those that were left alone since are shrunk by all steps at once.
+            met[at] = True
+            places = np.flatnonzero(met)
+            met[places], local[places] = False, np.arange(len(places))
+            at, past = local[at], squares[places]
+            held = rows[places] * np.exp((last[places] - step)[:, None] * (RATE * shrink / np.sqrt(past)))
             scale = _scale(sizes)[text]
-            scaled = rows[at] * scale[:, None]
-            sums = np.stack([np.bincount(text, part, len(chosen)) for part in scaled.T], axis=1)
-            square = np.bincount(text, (scaled[:, 1:] ** 2).sum(axis=1), len(chosen))
+            scaled = held[at] * scale[:, None]
+            sums, square, filled = np.zeros((len(chosen), FACTORS + 1)), np.zeros(len(chosen)), np.flatnonzero(sizes)
+            if len(filled):
+                starts = (np.cumsum(sizes) - sizes)[filled]
+                sums[filled] = np.add.reduceat(scaled, starts, axis=0)
+                square[filled] = np.add.reduceat(np.einsum("ij,ij->i", scaled[:, 1:], scaled[:, 1:]), starts)
             margin = np.clip(bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(axis=1) - square), -30, 30)
             slope = (1 / (1 + np.exp(-margin)) - labels[chosen]) / len(chosen)
             each = slope[text] * scale
-            change = np.stack([np.bincount(at, part, len(rows)) for part in (
-                each, *(each * (sums[text, k] - scaled[:, k]) for k in range(1, FACTORS + 1)))], axis=1) + shrink * rows
-            squares += change**2
-            rows -= RATE * change / np.sqrt(squares)
+            parts = sums[text] - scaled
+            parts[:, 0] = 1
+            parts = np.ascontiguousarray((parts * each[:, None]).T)
+            change = np.stack([np.bincount(at, part, len(places)) for part in parts], axis=1) + shrink * held
+            past = past + change**2
+            squares[places], rows[places], last[places] = past, held - RATE * change / np.sqrt(past), step + 1
+            step += 1
             bias_square += slope.sum() ** 2
             bias -= RATE * slope.sum() / bias_square**0.5
+    rows *= np.exp((last - step)[:, None] * (RATE * shrink / np.sqrt(squares)))
     return Machine(float(bias), learned, rows)
 
 
