@@ -31,21 +31,25 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text by a model learned from the texts outside one fold; null texts count as empty."""
     return lm_score.score(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every whole text and of the text decoded from them; null texts count as empty."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(docs, "text", vocabulary_path()).drop("text")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every text and the smallest id that it is linked with over fingerprints at most two bits apart."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole text, learned from labels outside one fold; a score of 0.5 is predicted as toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, "text", toxicity.trained_on(spark, docs, sf_dir))
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score",
@@ -53,10 +57,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited form, and their likeness to it and to the next document's."""
     return spotsigs.against_next(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back: the record of each, its payload's size and digest, and what it revisits."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
