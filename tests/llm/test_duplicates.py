@@ -186,6 +186,37 @@ def test_lines_mostly_of_one_passage_lose_no_link(spark):
     assert found == wanted
 
 
+def test_lines_alike_by_frequent_shingles_alone_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "RARE_LINES", 0)  # every shingle that two lines share is a frequent one
+    rng, rows = random.Random(12), []
+    for _ in range(60):
+        words = rng.choices(["amber", "birch", "cedar", "delta", "ember", "flint", "grove", "heath", "inlet", "jetty"], k=24)
+        for _ in range(3):
+            other = list(words)
+            other[rng.randrange(24)] = rng.choice(["knoll", "ledge", "marsh"])
+            rows.append((len(rows), " ".join(other)))
+    texts = {text for _, text in rows}
+    lines = line_dedup._Lines(line_dedup._lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    h = F.struct("h1", "h2")
+    text_of = {tuple(r.h): r.line for r in lines.table.select(h.alias("h"), "line").collect()}
+    ranked = lines.ranked(lines.table.select(h.alias("h"), h.alias("c")))
+
+    def components(links):
+        sets = brute.Sets(texts)
+        for a, b in links:
+            sets.join(a, b)
+        return {x: sets.root(x) for x in texts}
+
+    def named(links):
+        return [(text_of[tuple(r.a)], text_of[tuple(r.b)]) for r in links.collect()]
+
+    first = lines.verified(lines.sharing(ranked))
+    rest = lines.verified(lines.remaining(ranked, line_dedup._components(first)))
+    wanted = components(brute.line_links(list(texts)))
+    assert components(named(first)) != wanted
+    assert components(named(first) + named(rest)) == wanted
+
+
 def test_lines_without_spaces_are_signed_by_content(spark):
     rng, rows = random.Random(10), []
     for letters in ("".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz0123456789/", "абвгд\t\u00a0"):
