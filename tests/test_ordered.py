@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from twosided.operators import ordered
 from twosided.operators.ordered import (
     FillBackward,
     FillForward,
@@ -99,3 +100,11 @@ def test_values_never_look_ahead(spark):
     upto = (before.k != "hot") | (before[["t", "id"]].apply(tuple, axis=1) <= (at.t, at.id))
     assert before[upto][["last5", "total"]].equals(after[upto][["last5", "total"]])
     assert not before[~upto][["last5", "total"]].equals(after[~upto][["last5", "total"]])
+
+
+def test_slices_are_bounded_but_never_too_large():
+    most = ordered.MAX_SLICES
+    assert ordered.number_of_slices(600_000, 4_000) == 150
+    assert ordered.number_of_slices(216_000_000, 4_000) == most
+    assert ordered.number_of_slices(12_000_000, ordered.MAX_GROUP_ROWS) == 3
+    assert ordered.number_of_slices(3 * most * ordered.MAX_GROUP_ROWS, 4_000) == 3 * most
