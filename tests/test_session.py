@@ -29,3 +29,29 @@ def test_a_cluster_without_a_folder_is_refused():
 
 def test_sessions_do_not_share_written_views(spark):
     assert spark.conf.get("spark.app.id")
+
+
+def test_shuffles_begin_with_partitions_by_rows(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        session.spread_shuffles(spark, usual * session.ROWS_A_PARTITION)
+        assert spark.conf.get(key, None) is None
+        session.spread_shuffles(spark, (usual + 3) * session.ROWS_A_PARTITION - 1)
+        session.spread_shuffles(spark, 1)
+        assert int(spark.conf.get(key)) == usual + 3
+    finally:
+        spark.conf.unset(key)
+
+
+def test_small_splits_end_with_the_block(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, within in (("128m", session.CACHED_SPLIT), ("1m", 1 << 20), ("134217728b", session.CACHED_SPLIT)):
+            spark.conf.set(key, given)
+            with session.small_splits(spark):
+                assert int(spark.conf.get(key).rstrip("b")) == within
+            assert spark.conf.get(key) == given
+    finally:
+        spark.conf.set(key, before)
