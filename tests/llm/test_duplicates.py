@@ -217,6 +217,44 @@ def test_lines_alike_by_frequent_shingles_alone_lose_no_link(spark, monkeypatch)
     assert components(named(first) + named(rest)) == wanted
 
 
+def test_lines_of_few_words_are_not_paired_with_each_other(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "RARE_LINES", 0)
+    words = ["amber", "birch", "cedar", "delta", "ember", "flint", "grove", "heath", "inlet", "jetty", "knoll", "ledge", "marsh", "nook"]
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choices(words, k=16))) for i in range(150)]
+    rows += [(1000 + i, f"{rows[i][1]} opal") for i in range(20)]
+    lines = line_dedup._Lines(line_dedup._lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    h = F.struct("h1", "h2")
+    ranked = lines.ranked(lines.table.select(h.alias("h"), h.alias("c")))
+    pairs = lines.sharing(ranked).union(lines.remaining(ranked, line_dedup._components(ranked.select(F.col("h").alias("a"), F.col("h").alias("b"))))).distinct()
+    wanted = len(brute.line_links([text for _, text in rows]))
+    assert 20 <= wanted == lines.verified(pairs).count() and pairs.count() < 2 * wanted
+    lines.drop()
+
+
+def test_parities_never_part_lines_alike(spark):
+    rng, rows = random.Random(14), []
+    for n in (3, 20, 200, 3000):
+        for edits in range(60):
+            line = "".join(rng.choices("abcdefgh ", k=n))
+            other = list(line)
+            for _ in range(edits * n // 600):
+                other[rng.randrange(n)] = rng.choice("xyz")
+            rows.append((line, "".join(other)))
+    df = spark.createDataFrame(rows, "x string, y string")
+    for a, n, bits in (("x", "n", "bits"), ("y", "n2", "bits2")):
+        df = df.withColumn("all", line_dedup._shingles(F.col(a))).withColumns({n: F.size("all"), bits: line_dedup._parities("all")})
+    told = df.select((line_dedup.jaccard(F.col("x"), F.col("y")) >= line_dedup.MIN_JACCARD).alias("like"), line_dedup._may_be_like("n", "bits", "n2", "bits2").alias("may")).collect()
+    assert all(r.may for r in told if r.like) and sum(r.like for r in told) > 60 and sum(not r.may for r in told) > 30
+
+
+def test_tables_of_lines_are_removed(spark):
+    line_dedup.report(spark.createDataFrame(near_lines(3), "doc_id long, text string"), "doc_id", "text").collect()
+    before = set(spark.sql("SHOW DATABASES").toPandas().iloc[:, 0])
+    line_dedup.report(spark.createDataFrame(near_lines(3), "doc_id long, text string"), "doc_id", "text").collect()
+    assert set(spark.sql("SHOW DATABASES").toPandas().iloc[:, 0]) == before
+
+
 def test_lines_without_spaces_are_signed_by_content(spark):
     rng, rows = random.Random(10), []
     for letters in ("".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz0123456789/", "абвгд\t\u00a0"):
