@@ -148,6 +148,39 @@ def test_probabilities_sum_to_one():
     assert sum(others) + 0.5 * (len(others) + 1) == pytest.approx(known.rest)
 
 
+def test_products_of_tables_give_the_scores():
+    words = [b"b%d" % (i * i % 300) for i in range(4000)]
+    counts = collections.Counter(words)
+    known = lm_score.Frequencies(4001, len(counts) + 1, [lm_score.END, *(x for x, _ in counts.most_common(200))], np.array([1, *(n for _, n in counts.most_common(200))]))
+    model, _ = lm_score._train_texts(iter([b" ".join(words).decode()]), known, 2)
+    places = lm_score.Places(known)
+    own = places.of(words)
+    contexts, wanted = places.contexts(own), np.minimum(own, known.outputs)
+    for scale in (1, 30, 300):  # the larger ones are beyond what products of exponentials can hold
+        wide = lm_score.Model(model.flat.astype(float), known.outputs)
+        wide.vectors *= scale
+        s = (wide.inputs[contexts] * wide.distance).sum(axis=1) @ wide.vectors.T + wide.bias
+        top = s.max(axis=1)
+        plain = (s[np.arange(len(own)), wanted] - top - np.log(np.exp(s - top[:, None]).sum(axis=1))).sum() / math.log(10)
+        single = lm_score.Model(wide.flat.astype(np.float32), known.outputs).tables()
+        assert single.log10(contexts, wanted) == pytest.approx(plain, rel=1e-5)
+        assert scale == 30 or (single.powers is None) == (scale == 300)
+
+
+def test_words_of_many_texts_are_those_of_each(monkeypatch):
+    monkeypatch.setattr(lm_score, "PLACED", 20)
+    texts = ["", None, "  two\tWORDS \n", " ", "\x0b\x0cÉa\x1c b\x85c\u00a0d", LONG, "a", *(x for _, x in ODD)]
+    known = lm_score.Frequencies(9, 4, [lm_score.END, b"a", b"two", b"row"], np.array([4, 2, 2, 1]))
+    places = lm_score.Places(known)
+    found = list(places.each(texts))
+    assert len(found) == len(texts)
+    for (own, rare), text in zip(found, texts, strict=True):
+        words = lm_score.words_of(text)
+        assert own.tolist() == places.of(words).tolist() and len(own) == len(words) + 1
+        assert rare == [x for x in words if x not in known.head]
+        assert own.tolist() == [known.head.index(x) if x in known.head else 4 + lm_score.letters_of(x) for x in [*words, b""]]
+
+
 def test_gradient_is_that_of_the_loss():
     known = lm_score.Frequencies(40, 4, [lm_score.END, b"a", b"b", b"c"], np.array([4, 20, 10, 6]))
     model, rng = lm_score.Model.start(known), np.random.default_rng(0)

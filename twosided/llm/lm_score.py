@@ -2,8 +2,8 @@
 
 The context of a token is the last ``CONTEXT`` tokens. Their vectors, each scaled by a vector for its distance, add up to a
 prediction whose products with the output vectors, and biases, are the scores of the next token. The model is trained in numpy
-by noise-contrastive estimation, with noise from the token frequencies, and normalised when it scores: one matrix product
-gives the scores of all outputs for a block of contexts.
+by noise-contrastive estimation, with noise from the token frequencies, and normalised when it scores: a score is a sum over the places of
+a context, so its exponential is a product of rows of one table for each distance, made once for a task by matrix products.
 
 The outputs are the end of a text, the most frequent words and one class for all other words, in which a word has its
 smoothed share; so probabilities sum to 1 over all known words and one unknown. Rare words of a context share vectors by
@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +40,10 @@ SHARED, LETTERS = 1024, 3
 HEAD = 1 << 17
 #: Noise tokens for a batch, tokens of a batch, tokens that are shuffled together, and the step of Adagrad.
 NOISE, BATCH, SHUFFLED, RATE = 32, 1024, 1 << 16, 0.1
-#: Different words that a task counts before it passes them on, and tokens that are scored at once.
-COUNTED, SCORED = 200_000, 4096
+#: Different words that a task counts before it passes them on, tokens that are scored at once, and up to which size scores are multiplied as exponentials.
+COUNTED, SCORED, LARGEST = 200_000, 256, 80
+#: Characters of texts whose words are looked up together.
+PLACED = 1 << 22
 #: The end of a text as a token; no word is empty.
 END = b""
 
@@ -50,6 +53,32 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def letters_of(word: bytes) -> int:
+    """The place that a rare word shares with all of the same last letters."""
+    return zlib.crc32(word[-LETTERS:]) % SHARED
+
+
+def _together(texts: Iterable[str | None]) -> Iterator[list[str]]:
+    """The texts in lists of about ``PLACED`` characters; a longer text is alone or the last of a list."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text or "")
+        size += len(held[-1])
+        if size >= PLACED:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as :func:`words_of` gives them, and the number of the text that each is from."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    words, owner = split.flatten().cast(pa.large_binary()), pc.list_parent_indices(split).to_numpy()
+    told = pc.greater(pc.binary_length(words), 0)  # there is an empty one beside a blank at an end
+    return words.filter(told), owner[told.to_numpy(zero_copy_only=False)]
+
+
 def token_counts(texts: DataFrame) -> DataFrame:
     """``(token, c)``: the tokens of a column ``text`` and how often each occurs, the end of each text included."""
     schema = pa.schema([("token", pa.binary()), ("c", pa.int64())])
@@ -59,13 +88,14 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted: Counter = Counter()
-        for own in batches:
-            for text in own.column(0):
-                counted.update(words_of(text.as_py()))
-                counted[END] += 1
-                if len(counted) >= COUNTED:
-                    yield batch(counted)
-                    counted = Counter()
+        for some in _together(text.as_py() for own in batches for text in own.column(0)):
+            words, _ = _words(some)
+            for word, n in zip(*(x.to_pylist() for x in words.value_counts().flatten()), strict=True):
+                counted[word] += n
+            counted[END] += len(some)
+            if len(counted) >= COUNTED:
+                yield batch(counted)
+                counted = Counter()
         yield batch(counted)
 
     partial = texts.select("text").mapInArrow(count, "token binary, c long")
@@ -95,7 +125,9 @@ class Frequencies:
         known = {bytes(row["token"]): row["c"] for row in rows}
         words = sorted((x for x in known if x != END), key=lambda x: (-known[x], x))
         head = [END, *words]
-        return cls(total[0] or 0, total[1], head, np.array([known.get(x, 0) for x in head], np.int64))
+        found = cls(total[0] or 0, total[1], head, np.array([known.get(x, 0) for x in head], np.int64))
+        assert len(found.context)  # made here, once for all tasks
+        return found
 
     @property
     def whole(self) -> float:
@@ -111,31 +143,45 @@ class Frequencies:
         """The smoothed count of the class of other words."""
         return self.whole - float((self.counts[: self.outputs] + 0.5).sum())
 
+    @cached_property
+    def context(self) -> np.ndarray:
+        """Places in the table of context vectors: outputs have their own, other words share those after them."""
+        shared = [self.outputs + 1 + letters_of(word) for word in self.head[self.outputs :]]
+        return np.concatenate([np.arange(self.outputs), np.array(shared, np.int64), np.arange(SHARED) + self.outputs + 1]).astype(np.int64)
+
     def shares(self) -> np.ndarray:
         shares = np.append(self.counts[: self.outputs] + 0.5, self.rest) / self.whole
         return shares / shares.sum()
 
 
-class Places(dict):
+class Places:
     """The place of each token: frequent words by rank, then shared places of rare words by their last letters."""
 
     def __init__(self, known: Frequencies):
-        super().__init__((word, i) for i, word in enumerate(known.head))
-        self.words, outputs = len(known.head), known.outputs
-        # Places in the table of context vectors: outputs have their own, other words share those after them.
-        shared = [outputs + 1 + self._letters(word) for word in known.head[outputs:]]
-        self.context = np.concatenate([np.arange(outputs), np.array(shared, np.int64), np.arange(SHARED) + outputs + 1]).astype(np.int64)
-
-    @staticmethod
-    def _letters(word: bytes) -> int:
-        return zlib.crc32(word[-LETTERS:]) % SHARED
-
-    def __missing__(self, word: bytes) -> int:
-        return self.words + self._letters(word)
+        self.words, self.context = len(known.head), known.context
+        self.head = pa.array(known.head, pa.large_binary())
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """Places of the words and the end."""
-        return np.fromiter(chain(map(self.__getitem__, words), (0,)), np.int64, len(words) + 1)
+        return np.append(self._of(pa.array(words, pa.large_binary()))[0], 0)
+
+    def _of(self, words: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Places of the words, and the rare ones among them with their numbers."""
+        found = pc.index_in(words, value_set=self.head)
+        rare, at = words.filter(found.is_null()).to_pylist(), np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+        own = found.fill_null(0).to_numpy().astype(np.int64)
+        own[at] = [self.words + letters_of(word) for word in rare]
+        return own, rare, at
+
+    def each(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """For each text the places of its words and the end, as :meth:`of` gives them, and the words that share a place."""
+        for some in _together(texts):
+            words, owner = _words(some)
+            own, rare, at = self._of(words)
+            ends = np.searchsorted(owner, np.arange(len(some) + 1))
+            rares = np.searchsorted(at, ends)
+            for i in range(len(some)):
+                yield np.append(own[ends[i] : ends[i + 1]], 0), rare[rares[i] : rares[i + 1]]
 
     def contexts(self, places: np.ndarray) -> np.ndarray:
         """For each token the places of the tokens before it, nearest first, in the table of context vectors."""
@@ -165,13 +211,17 @@ class Model:
     def gradient(self, contexts: np.ndarray, wanted: np.ndarray, noise: np.ndarray, log_noise: np.ndarray) -> np.ndarray:
         """The slope of the noise-contrastive loss of a batch, all of whose tokens are told from the same noise."""
         change = Model(np.zeros_like(self.flat), len(self.bias) - 1)
-        near = self.inputs[contexts]
+        near = self.inputs.take(contexts, axis=0)
         predicted = sum(near[:, i] * self.distance[i] for i in range(CONTEXT))
-        own = self.vectors[wanted]
+        own = self.vectors.take(wanted, axis=0)
         true = (predicted * own).sum(axis=1) + (self.bias - log_noise)[wanted]
-        false = predicted @ self.vectors[noise].T + (self.bias - log_noise)[noise]
+        false = predicted @ self.vectors[noise].T
+        false += (self.bias - log_noise)[noise]
         true = (-1 / (1 + np.exp(np.clip(true, -30, 30)))).astype(np.float32)
-        false = 1 / (1 + np.exp(-np.clip(false, -30, 30)))
+        np.clip(false, -30, 30, out=false)
+        np.exp(np.negative(false, out=false), out=false)
+        false += 1
+        np.divide(1, false, out=false)
         slope = true[:, None] * own + false @ self.vectors[noise]
         np.add.at(change.vectors, noise, false.T @ predicted)
         np.add.at(change.bias, noise, false.sum(axis=0))
@@ -182,34 +232,58 @@ class Model:
         change.inputs[:] = _summed(contexts.ravel(), (slope[:, None, :] * self.distance).reshape(-1, WIDTH), len(self.inputs))
         return change.flat
 
+    def tables(self) -> Tables:
+        return Tables(self)
+
+    def log10(self, contexts: np.ndarray, wanted: np.ndarray) -> float:
+        """The sum of the normalised log10 probabilities of the wanted outputs; for many texts, make :meth:`tables` once."""
+        return self.tables().log10(contexts, wanted)
+
+
+class Tables:
+    """For each distance the scores that each place of a context adds to each output, and their exponentials; the nearest hold the biases."""
+
+    def __init__(self, model: Model):
+        self.parts = [(model.inputs * x) @ model.vectors.T for x in model.distance]
+        self.parts[0] += model.bias
+        bounds = sum(max(x.max(), 0) for x in self.parts), sum(min(x.min(), 0) for x in self.parts)
+        # Beyond these bounds single precision cannot hold the products.
+        self.room = np.empty((2, SCORED, len(model.bias)), self.parts[0].dtype)
+        self.powers = [np.exp(x) for x in self.parts] if max(bounds[0], -bounds[1]) <= LARGEST else None
+
     def log10(self, contexts: np.ndarray, wanted: np.ndarray) -> float:
         """The sum of the normalised log10 probabilities of the wanted outputs."""
-        total, tables = 0.0, self.inputs[None] * self.distance[:, None]
+        total = 0.0
         for start in range(0, len(wanted), SCORED):
-            c, w = contexts[start : start + SCORED], wanted[start : start + SCORED]
-            predicted = sum(tables[i][c[:, i]] for i in range(CONTEXT))
-            scores = predicted @ self.vectors.T
-            scores += self.bias
-            own = scores[np.arange(len(w)), w]
-            if scores.max() > 60 or scores.max(axis=1).min() < -60:  # beyond what single precision can sum without scaling each row
-                top = scores.max(axis=1)
-                scores -= top[:, None]
-                own = own - top
-            np.exp(scores, out=scores)
-            total += float(own.sum(dtype=float) - np.log(scores.sum(axis=1)).sum(dtype=float))
+            total += float(self._logs(contexts[start : start + SCORED].T, wanted[start : start + SCORED]).sum(dtype=float))
         return total / np.log(10)
 
+    def _logs(self, contexts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """The logarithms of the normalised probabilities of the wanted outputs, each after its context."""
+        n, each = len(wanted), np.arange(len(wanted))
+        if self.powers is None:
+            scores = sum(x[i] for x, i in zip(self.parts, contexts, strict=True))
+            scores -= scores.max(axis=1)[:, None]
+            return scores[each, wanted] - np.log(np.exp(scores).sum(axis=1))
+        product, row = self.room[:, :n]
+        self.powers[0].take(contexts[0], axis=0, out=product, mode="clip")
+        for x, i in zip(self.powers[1:-1], contexts[1:-1], strict=True):
+            x.take(i, axis=0, out=row, mode="clip")
+            product *= row
+        self.powers[-1].take(contexts[-1], axis=0, out=row, mode="clip")
+        return np.log(product[each, wanted] * row[each, wanted] / np.einsum("ij,ij->i", product, row))
+
 
 def _summed(rows: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     """Sums of the vectors that go to the same row."""
-    flat = (rows[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-    return np.bincount(flat, values.ravel(), size * WIDTH).reshape(size, WIDTH)
+    return np.stack([np.bincount(rows, x, size) for x in np.ascontiguousarray(values.T, dtype=float)], axis=1)
 
 
 def _train_texts(texts: Iterator[str | None], known: Frequencies, seed: int) -> tuple[Model, int]:
     """A copy of the start model trained once on all tokens of ``texts``, and their number."""
     places, model, rng = Places(known), Model.start(known), np.random.default_rng(seed)
     squares, shares = np.full(len(model.flat), 1e-2, np.float32), known.shares()
+    room = np.empty_like(squares)
     log_noise, steps = np.log(NOISE * shares).astype(np.float32), np.cumsum(shares)
     seen, held, size = 0, [], 0
 
@@ -221,11 +295,14 @@ def _train_texts(texts: Iterator[str | None], known: Frequencies, seed: int) ->
             noise = np.minimum(np.searchsorted(steps, rng.random(NOISE)), known.outputs)
             # Noise of a batch stands for NOISE tokens of noise for each of its tokens.
             change = model.gradient(contexts[chosen], wanted[chosen], noise, log_noise)
-            squares[:] += change * change
-            model.flat[:] -= RATE * change / np.sqrt(squares)
-
-    for text in texts:
-        own = places.of(words_of(text))
+            np.multiply(change, change, out=room)
+            np.add(squares, room, out=squares)
+            np.sqrt(squares, out=room)
+            np.multiply(change, RATE, out=change)
+            np.divide(change, room, out=change)
+            np.subtract(model.flat, change, out=model.flat)
+
+    for own, _ in places.each(texts):
         for start in range(0, len(own), SHUFFLED):  # a long text is cut only where it is learned from
             part = own[max(0, start - CONTEXT) : start + SHUFFLED]
             skip = min(start, CONTEXT)
@@ -275,10 +352,10 @@ def score(docs: DataFrame, id_col: str, text_col: str, held_out: int = 1) -> Dat
     @F.pandas_udf("struct<n_tokens:long,n_known:long,base:double,score:double,rare:array<binary>>")
     def frequent(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known, flat = shared.value
-        places, model = Places(known), Model(flat, known.outputs)
+        places, tables = Places(known), Model(flat, known.outputs).tables()
         logs = np.log10(known.counts + 0.5)
         for texts in batches:
-            yield pd.DataFrame([_score_words(words_of(x), places, model, known, logs) for x in texts])
+            yield pd.DataFrame([_score_words(own, rare, places, tables, known, logs) for own, rare in places.each(texts)])
 
     scored = materialise(rows.select("id", "held_out", F.monotonically_increasing_id().alias("row"), frequent("text").alias("s"))
                          .select("id", "held_out", "row", "s.*"), "frequent_scores")
@@ -293,15 +370,13 @@ def score(docs: DataFrame, id_col: str, text_col: str, held_out: int = 1) -> Dat
         (F.col("score") + logs).alias("score"))
 
 
-def _score_words(words: list[bytes], places: Places, model: Model, known: Frequencies, logs: np.ndarray) -> dict:
-    """Counts and scores of a text, but for the log10 of the smoothed counts of its rare words, and these words."""
-    own = places.of(words)
+def _score_words(own: np.ndarray, rare: list[bytes], places: Places, tables: Tables, known: Frequencies, logs: np.ndarray) -> dict:
+    """Counts and scores of a text by its places, but for the log10 of the smoothed counts of its rare words, and these words."""
     frequent = own < places.words
     # The end is frequent, and known if there was any text to learn from.
     n_known = int((known.counts[own[frequent]] > 0).sum())
     base = logs[own[frequent]].sum() - len(own) * np.log10(known.whole)
     other = own >= known.outputs
-    total = model.log10(places.contexts(own), np.minimum(own, known.outputs))
+    total = tables.log10(places.contexts(own), np.minimum(own, known.outputs))
     total += logs[own[other & frequent]].sum() - other.sum() * np.log10(known.rest)
-    rare = [words[i] for i in np.flatnonzero(~frequent)]
     return {"n_tokens": len(own), "n_known": n_known, "base": float(base), "score": float(total), "rare": rare}
