@@ -31,3 +31,14 @@ def test_spellings(spark, day_first):
 def test_all_spellings_are_dates(spark):
     df = spark.createDataFrame([(x,) for x in SPELLINGS], "d string")
     assert len(SPELLINGS) >= 30 and text.unparsed_dates(df, "d").first().unparsed == 0
+
+
+def test_steps_of_a_date_are_written_once(spark):
+    df = spark.createDataFrame([("2023-08-13",)], "d string").select(text.parse_date("d").alias("date"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 3 and plan.count("regexp_extract_all(") == 1
+
+
+def test_a_line_end_is_no_part_of_a_date(spark):
+    df = spark.createDataFrame([("20230813\n",)], "d string")
+    assert df.select(text.parse_date("d")).first()[0] is None

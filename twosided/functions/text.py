@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,19 +87,37 @@ def parse_date(column: str, day_first: bool = False) -> Column:
     """
     low = F.trim(F.lower(F.col(column)))
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, TIME_OF_DAY, ""), WEEKDAY, ""), r"(\d)(?:st|nd|rd|th)\b(?: of\b)?", "$1")
-    bare = F.when(bare.rlike(DATE), bare)
-    parts = F.when(F.length(bare) == F.length(F.regexp_extract(bare, r"^\d{8}", 0)), F.array(
-        F.substring(bare, 1, 4), F.substring(bare, 5, 2), F.substring(bare, 7, 2))).otherwise(F.regexp_extract_all(bare, F.lit("([a-z]+|[0-9]+)"), F.lit(1)))
-    named = F.transform(parts, lambda x: F.when(x.rlike("^[a-z]"), _month_of(x)))
-    a, b, c = (F.get(parts, F.lit(i)) for i in range(3))
-    month = [F.get(named, F.lit(i)) for i in range(3)]
-    spelled = [F.when(month[i].isNotNull(), _day(*order)) for i, order in enumerate((
-        _year_and_day(month[0], b, c), _year_and_day(month[1], a, c), _year_and_day(month[2], a, b)))]
+    return _let(bare, lambda bare: _let(_tokens(bare), lambda parts: _let(_named(parts), lambda x: _date_of(x, day_first))))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once, however often the body names it: written out, the steps of a date multiply."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _tokens(bare: Column) -> Column:
+    """The three tokens of a date's text; null where it is none."""
+    eight = F.array(F.substring(bare, 1, 4), F.substring(bare, 5, 2), F.substring(bare, 7, 2))
+    split = F.regexp_extract_all(bare, F.lit("([a-z]+|[0-9]+)"), F.lit(1))
+    return F.when(bare.rlike(DATE), F.when(bare.rlike(r"^\d{8}\z"), eight).otherwise(split))
+
+
+def _named(parts: Column) -> Column:
+    """The tokens ``a``, ``b``, ``c``, the months ``ma``, ``mb``, ``mc`` of those that are names, and the number of ``names``."""
+    tokens = {name: F.get(parts, F.lit(i)) for i, name in enumerate("abc")}
+    months = {f"m{name}": F.when(token.rlike("^[a-z]"), _month_of(token)) for name, token in tokens.items()}
+    names = F.size(F.filter(parts, lambda x: x.rlike("^[a-z]")))
+    return F.struct(*[value.alias(name) for name, value in (tokens | months).items()], names.alias("names"))
+
+
+def _date_of(x: Column, day_first: bool) -> Column:
+    a, b, c = x["a"], x["b"], x["c"]
+    others = {"ma": (b, c), "mb": (a, c), "mc": (a, b)}
+    spelled = [F.when(x[month].isNotNull(), _day(*_year_and_day(x[month], *two))) for month, two in others.items()]
     day_then_month, month_then_day = _day(c, b, a), _day(c, a, b)
     first, second = (day_then_month, month_then_day) if day_first else (month_then_day, day_then_month)
     numbers = F.when(F.length(a) == 4, F.coalesce(_day(a, b, c), _day(a, c, b))).otherwise(F.coalesce(first, second))
-    names = F.size(F.filter(parts, lambda x: x.rlike("^[a-z]")))
-    return F.when(names == 1, F.coalesce(*spelled)).when(names == 0, numbers)
+    return F.when(x["names"] == 1, F.coalesce(*spelled)).when(x["names"] == 0, numbers)
 
 
 def _month_of(word: Column) -> Column:
