@@ -177,3 +177,23 @@ def test_zip_members_keep_quoted_line_ends(spark, tmp_path):
 def test_year_first_dates_in_day_first_files(spark, tmp_path):
     (tmp_path / "i.csv").write_text("Link,Date_New,Referee,Home_Yellow,Home_Red,Away_Yellow,Away_Red\nx,2023-08-13,Name,1,0,0,0\ny,13/08/2023,Name,1,0,0,0\n")
     assert {str(r.date) for r in readers.scan_match_info(spark, str(tmp_path / "i.csv"), day_first=True).collect()} == {"2023-08-13"}
+
+
+RATING_LINES = [
+    '{"ratings": {"a": {"Elo_home": "1.5", "Elo_away": "N/A"}, "b": {"Elo_home": 17, "Elo_away": 2.50e1}}}', "", "   ",
+    '{"ratings": {"c": null, "d": {}, "e": {"Elo_home": true, "Elo_away": [1]}}}', '{"ratings": {"f": 5, "g": {"Elo_home": "1"}}}',
+    "{'ratings': {'h': {'Elo_home': '3'}}}", '{"ratings": {"i": {"Elo_home": "1"}, "i": {"Elo_home": "2", "Elo_home": "3"}}}',
+    '{"ratings": []}', '{"ratings": null}', '{"other": 1}', "[]", "7", '{"ratings": {"j": {"Elo_home": "1"', "nonsense",
+    '[{"ratings": {"k": {"Elo_home": "8"}}}, {"ratings": {"l": {"Elo_away": "9"}}}]', '[1, {"ratings": {"m": {"Elo_home": "5"}}}]',
+    '{"ratings": {"\\u00e9\\ud83d\\ude00": {"Elo_home": NaN, "Elo_away": -Infinity}}} trailing', '{"ratings": {"n": {"Elo_home": "\\ud800"}}}',
+]
+
+
+def test_links_are_no_field_names_of_a_parser(spark, tmp_path):
+    for i, line in enumerate(RATING_LINES):
+        (tmp_path / f"{i:02d}.json").write_text(line + "\n", encoding="utf-8")
+    df = readers.scan_ratings(spark, str(tmp_path))
+    theirs = readers.flatten_ratings(spark.read.schema(schemas.RATINGS).json(str(tmp_path)))
+    assert sorted(map(str, df.collect())) == sorted(map(str, theirs.collect()))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan json" not in plan and "FileScan text" in plan

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -11,6 +12,7 @@ from functools import reduce
 from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,8 +111,59 @@ def parse_team_info(df: DataFrame, dropped_country: str = "Portugal") -> DataFra
 
 
 def scan_ratings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``link``, ``home_elo``, ``away_elo`` from JSON lines that each hold a map of links to ratings."""
-    return flatten_ratings(spark.read.schema(schemas.RATINGS).json(paths))
+    """``link``, ``home_elo``, ``away_elo`` from JSON lines that each hold a map of links to ratings.
+
+    Spark's parser keeps every field name of a file in a table that it copies for each new one, and here a name is a link. So
+    lines are parsed in Python; those that its stricter parser refuses go to Spark's.
+    """
+    fields = T.StructType.fromDDL(schemas.RATINGS)
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    lines = spark.read.text(paths).select("value").mapInArrow(_rating_maps, f"{kept}, refused string")
+    spelled = F.from_json("refused", fields)["ratings"]
+    return flatten_ratings(lines.select(F.when(F.col("refused").isNull(), F.col("ratings")).otherwise(spelled).alias("ratings")))
+
+
+def _rating_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The map ``ratings`` of each line, entries without a rating included, or the line itself if it is ``refused``."""
+    decode = json.JSONDecoder(object_pairs_hook=tuple, parse_int=str, parse_float=str, parse_constant=str).raw_decode
+    schema = pa.schema([("ratings", pa.map_(pa.string(), pa.struct([("Elo_home", pa.string()), ("Elo_away", pa.string())]))), ("refused", pa.string())])
+    for batch in batches:
+        column = batch.column(0)
+        start = 0
+        while start < len(column):
+            rows, found = [], 0
+            while start < len(column) and found < 50_000:
+                line = column[start].as_py()
+                start += 1
+                try:
+                    for ratings in _ratings_of(decode(line, len(line) - len(line.lstrip(" \t\r")))[0]):
+                        rows.append((ratings, None))
+                        found += len(ratings)
+                except (ValueError, RecursionError):
+                    rows.append(([], line))
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), f.type) for x, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+
+
+def _ratings_of(record) -> Iterator[tuple]:
+    """The entries of ``ratings`` of a line's record, or of each record of a line that is a list of them; objects are tuples of pairs."""
+    records = record if isinstance(record, list) else [record]
+    for fields in records if all(isinstance(x, tuple) for x in records) else []:
+        ratings = dict(fields).get("ratings")
+        if isinstance(ratings, tuple):
+            yield [(_encoded(link), _rating(value)) for link, value in ratings]
+
+
+def _rating(value) -> dict | None:
+    if not isinstance(value, tuple | None):
+        raise ValueError("a rating that is no object")
+    fields = None if value is None else dict(value)
+    return fields and {name: _encoded(text) if isinstance(text := fields.get(name), str) else None for name in ("Elo_home", "Elo_away")}
+
+
+def _encoded(text: str) -> str:
+    """The text itself; half of a surrogate pair is an error, as it cannot be encoded."""
+    text.encode()
+    return text
 
 
 def flatten_ratings(df: DataFrame, column: str = "ratings") -> DataFrame:
