@@ -148,3 +148,10 @@ def test_nodes_of_a_saved_forest_give_its_importances(spark):
         assert seen == len(held) and sum(walked.values()) > 3
         for i, name in enumerate(names):
             assert abs(found[name][0] - theirs[i]) < 0.03 and found[name][1] == walked[name]
+
+
+def test_the_forest_of_the_importances_is_whole(spark):
+    from twosided.catalog.model_queries import forest_importances
+
+    splits = sum(r.splits for r in forest_importances(spark, "/root/testdata/sf0.001").collect())
+    assert splits > 100 * 31  # what a hundred trees of depth 5 have at most
