@@ -155,3 +155,23 @@ def test_the_forest_of_the_importances_is_whole(spark):
 
     splits = sum(r.splits for r in forest_importances(spark, "/root/testdata/sf0.001").collect())
     assert splits > 100 * 31  # what a hundred trees of depth 5 have at most
+
+
+def test_depths_of_one_tree_are_read_off_the_deepest(frames, monkeypatch):
+    train, valid, _ = frames
+    with search.prepared(train, valid, FEATURES) as (fit_on, check_on):
+        fits, plain_fit = [], training.RandomForestClassifier.fit
+
+        def counted(self, *args):
+            fits.append(self.getMaxDepth())
+            return plain_fit(self, *args)
+
+        monkeypatch.setattr(training.RandomForestClassifier, "fit", counted)
+        for classifier, values, count in ((training.random_forest(1), {"maxDepth": [1, 4, 2], "minInstancesPerNode": [1, 40]}, 2),
+                                          (training.random_forest(3), {"maxDepth": [1, 3]}, 2)):
+            fits.clear()
+            grid = search.grid_of(classifier, values)
+            found = search.evaluate_params(classifier, grid, fit_on, check_on)
+            assert len(fits) == count
+            models = [classifier.copy(params).fit(fit_on) for params in grid]
+            assert found == [(search.score(m, fit_on), search.score(m, check_on)) for m in models]
