@@ -55,3 +55,29 @@ def test_small_splits_end_with_the_block(spark):
             assert spark.conf.get(key) == given
     finally:
         spark.conf.set(key, before)
+
+
+def test_shuffles_go_when_a_table_is_written(spark, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, during = spark.conf.get(key), []
+    observed = type(spark.range(1)).observe
+
+    def observe(df, *args):
+        during.append(spark.conf.get(key))
+        return observed(df, *args)
+
+    monkeypatch.setattr(type(spark.range(1)), "observe", observe)
+    assert session.materialise(spark.range(1000).groupBy("id").count(), "counted").count() == 1000
+    assert during == ["true"] and spark.conf.get(key) == before
+
+
+def test_filled_histories_are_shuffled_once_by_team(spark):
+    from twosided.catalog import impute_queries
+    from twosided.operators import impute
+    from twosided.plans.contest_view import ROW_KEY, contest_table
+
+    df = impute_queries.fill_history(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # a written table: its shuffles are gone
+    plain = impute.fill_along_history(contest_table(spark, "/root/testdata/sf0.001").drop("date"), ROW_KEY, drop=())
+    assert df.columns == plain.columns and sorted(map(str, df.collect())) == sorted(map(str, plain.collect()))

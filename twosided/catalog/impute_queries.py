@@ -8,6 +8,7 @@ from twosided.operators import impute
 from twosided.operators.ordered import FillBackward, FillForward, with_ordered
 from twosided.operators.sides import to_participants
 from twosided.plans.contest_view import ROW_KEY, cleaned_table, contest_table, feature_table, table
+from twosided.session import co_partitioned, materialise
 
 HISTORY = ["season_year", "match_round", "side_ord", "home_team", "away_team"]
 MEASURES = ["yellow", "red", "elo"]
@@ -110,7 +111,9 @@ def event_bfill(spark, sf_dir):
 
 
 def fill_history(spark, sf_dir):
-    return impute.fill_along_history(contest_table(spark, sf_dir).drop("date"), ROW_KEY, drop=())
+    # Written, so that home rows stay where the fills left them and their shuffles go when that is done.
+    with co_partitioned(spark):
+        return materialise(impute.fill_along_history(contest_table(spark, sf_dir).drop("date"), ROW_KEY, drop=(), paired=True), "history")
 
 
 def fill_history_forward_only(spark, sf_dir):
