@@ -175,3 +175,8 @@ def test_depths_of_one_tree_are_read_off_the_deepest(frames, monkeypatch):
             assert len(fits) == count
             models = [classifier.copy(params).fit(fit_on) for params in grid]
             assert found == [(search.score(m, fit_on), search.score(m, check_on)) for m in models]
+
+
+def test_large_frames_are_fitted_one_at_a_time(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [search._at_once(spark.range(0, 100, 1, n), 4) for n in (1, cores, cores + 1)] == [4, 4, 1]
